@@ -17,6 +17,7 @@ def local_session(app: str = "strandline", cores: str = "*", shuffle_partitions:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
