@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import best_record, byte_bpe, packing
+from strandline.llm import best_record, byte_bpe, packing, subjects
 from strandline.operators.feed import instant_us
 from strandline.sources.tables import table
 
@@ -59,7 +59,19 @@ def p9_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(sized, SEQUENCE_TOKENS)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p6_found, p6_records, p8_ids, p9_packing)}
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    known = table(spark, root, "subjects").select("subject")
+    found = subjects.document_subjects(table(spark, root, "documents")).select("doc_id", "subject").distinct()
+    return found.join(known, "subject", "left_semi").select("doc_id", "subject")
+
+
+def p10_composition(spark: SparkSession, root: str) -> DataFrame:
+    """Documents and mean share of sentences by subject."""
+    found = subjects.document_subjects(table(spark, root, "documents"))
+    return found.groupBy("subject").agg(F.count("*").alias("documents"), F.round(F.avg("share"), 3).alias("mean_share"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p6_found, p6_records, p8_ids, p9_packing, p10_found, p10_composition)}
 
 _RANKED = """SELECT *, TRY_CAST(source_version AS TIMESTAMPTZ) AS ver, payload.severity AS severity, payload.severity_scale AS severity_scale, payload.depth_km AS depth_km, payload.place AS place, payload.source_url AS source_url, payload.status AS status,
 (payload.severity IS NOT NULL)::INT + (payload.severity_scale IS NOT NULL)::INT + (payload.depth_km IS NOT NULL)::INT + (payload.place IS NOT NULL)::INT + (payload.source_url IS NOT NULL)::INT AS filled
