@@ -32,24 +32,30 @@ def _strip(lat: Column, strip_deg: float) -> Column:
     return F.floor(lat / F.lit(strip_deg)).cast("int")
 
 
-def points_in_regions(points: DataFrame, edges: DataFrame, strip_deg: float = 0.05, cell_points: int = CELL_POINTS) -> DataFrame:
-    """(pid, plat, plon, rid, rlat, rlon) of each point in each region.
-
-    points: pid, plat, plon (in degrees; unique pid). edges: rid, rlat, rlon (any position kept with the region; rlon is the
-    meridian that x is relative to), x0, y0, x1, y1: x in degrees east of rlon within [-180, 180], y latitude; the edges of a
-    region form closed rings, of which holes are just more rings. Points without a position on the globe, and edges with a
-    null, are in nothing. A point on an edge or corner is inside. A region listed with repeated edges must repeat all of them
-    an odd number of times.
+def points_in_regions(points: DataFrame, regions: DataFrame, strip_deg: float = 0.05, cell_points: int = CELL_POINTS) -> DataFrame:
+    """(pid, rid) of each point in each region.
+
+    points: pid, plat, plon (in degrees; unique pid). regions: rid, rlon, edges - an array of (x0, y0, x1, y1), x in degrees
+    east of the meridian rlon within [-180, 180], y latitude; the edges form closed rings, of which holes are just more rings.
+    Points without a position on the globe, and regions with a null, are in nothing. A point on an edge or corner is inside.
+    Each rid must come once. Empty tables give no rows; other columns are ignored.
     Cells with more than cell_points points are split by point, and the edges there are copied to the parts.
     """
     pts = points.where(valid_position(F.col("plat"), F.col("plon"))).select("pid", "plat", "plon")
     pts = pts.withColumn("strip", _strip(F.col("plat"), strip_deg)).withColumn("cell", F.floor(F.pmod(F.col("plon") + 180, F.lit(360.0)) / _cell_width(F.col("strip"), strip_deg)).cast("int"))
 
-    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
-    cut = edges.where("rid is not null and x0 + y0 + x1 + y1 + rlon is not null")
-    extent = cut.groupBy("rid").agg(F.min(F.least("x0", "x1")).alias("west"), F.max(F.greatest("x0", "x1")).alias("east"))
-    cut = cut.select("rid", "rlat", "rlon", "x0", "y0", "x1", "y1", F.explode(F.sequence(_strip(low, strip_deg), _strip(high, strip_deg))).alias("strip")).join(extent, "rid")
+    # an edge counts in every strip that its latitudes touch, both ends included
+    low_high = lambda e: (F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"]))
+    cut = regions.where("rid is not null and rlon is not null and size(edges) > 0 and not exists(edges, e -> e.x0 + e.y0 + e.x1 + e.y1 is null)").select(
+        "rid",
+        "rlon",
+        "edges",
+        F.array_min(F.transform("edges", lambda e: F.least(e["x0"], e["x1"]))).alias("west"),
+        F.array_max(F.transform("edges", lambda e: F.greatest(e["x0"], e["x1"]))).alias("east"),
+        F.explode(F.sequence(_strip(F.array_min(F.transform("edges", lambda e: low_high(e)[0])), strip_deg), _strip(F.array_max(F.transform("edges", lambda e: low_high(e)[1])), strip_deg))).alias("strip"),
+    )
     width = _cell_width(F.col("strip"), strip_deg)
+    touching = F.filter("edges", lambda e: (_strip(low_high(e)[0], strip_deg) <= F.col("strip")) & (_strip(low_high(e)[1], strip_deg) >= F.col("strip")))
     # degrees east of the antimeridian, a hair wider than the region to make up for rounding; below 0 and from 360 on it wraps
     west, east = F.col("rlon") + F.col("west") + (180 - 1e-7), F.col("rlon") + F.col("east") + (180 + 1e-7)
     count = F.ceil(F.lit(360.0) / width)
@@ -59,7 +65,7 @@ def points_in_regions(points: DataFrame, edges: DataFrame, strip_deg: float = 0.
     before = F.when(west < 0, F.sequence(cell_at(west + 360), count - 1)).otherwise(none)
     beyond = F.when(east >= 360, F.sequence(F.lit(0).cast("bigint"), cell_at(east - 360))).otherwise(none)
     wrapped = F.array_distinct(F.concat(inside, before, beyond))
-    cut = cut.withColumn("cell", F.explode(wrapped)).withColumn("cell", F.col("cell").cast("int")).drop("west", "east")
+    cut = cut.select("rid", "rlon", "strip", touching.alias("edges"), F.explode(wrapped.cast("array<int>")).alias("cell"))
 
     # full cells: at most points / cell_points of them; left to the planner to broadcast if they are few
     full = pts.groupBy("strip", "cell").agg(F.count("*").alias("n")).where(F.col("n") > cell_points).select("strip", "cell", F.ceil(F.col("n") / cell_points).cast("int").alias("parts"))
@@ -68,19 +74,20 @@ def points_in_regions(points: DataFrame, edges: DataFrame, strip_deg: float = 0.
 
     met = pts.join(cut, ["strip", "cell", "part"])
     x = F.pmod(F.col("plon") - F.col("rlon") + 180, F.lit(360.0)) - 180
-    met = met.withColumn("x", x).where((F.col("plat") >= low) & (F.col("plat") <= high))
+    met = met.select("pid", "rid", "plat", x.alias("x"), F.inline("edges"))
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    met = met.where((F.col("plat") >= low) & (F.col("plat") <= high))
     level = F.col("y0") == F.col("y1")
     at = F.col("x0") + (F.col("plat") - F.col("y0")) / F.when(~level, F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
     within = lambda v: (v >= F.least("x0", "x1")) & (v <= F.greatest("x0", "x1"))
     on_edge = F.when(level, within(F.col("x")) | ((F.abs(F.col("x")) == 180) & within(-F.col("x")))).otherwise((at == F.col("x")) | ((F.abs(F.col("x")) == 180) & (at == -F.col("x"))))
     crosses = ~level & (F.col("plat") < high) & (at > F.col("x"))
-    met = met.withColumn("edge", on_edge).withColumn("cross", F.coalesce(crosses, F.lit(False)).cast("int")).where("edge or cross = 1")
-    counted = met.groupBy("pid", "rid").agg(F.sum("cross").alias("crossings"), F.max("edge").alias("edge"), *[F.first(c).alias(c) for c in ("plat", "plon", "rlat", "rlon")])
-    return counted.where("edge or crossings % 2 = 1").drop("crossings", "edge")
+    met = met.select("pid", "rid", on_edge.alias("edge"), F.coalesce(crosses, F.lit(False)).cast("int").alias("cross")).where("edge or cross = 1")
+    return met.groupBy("pid", "rid").agg(F.sum("cross").alias("crossings"), F.max("edge").alias("edge")).where("edge or crossings % 2 = 1").select("pid", "rid")
 
 
-def disc_edges(centres: DataFrame, radius_km: float) -> DataFrame:
-    """Edges of a polygon around each disc, as points_in_regions takes them. centres: rid, rlat, rlon.
+def disc_regions(centres: DataFrame, radius_km: float) -> DataFrame:
+    """(rid, rlon, edges) of a polygon around each disc, as points_in_regions takes them. centres: rid, rlat, rlon.
 
     An octagon about the disc's box in latitude and longitude, widened by 2 % for the bend of the disc in that plane; beyond
     75 degrees the box itself, whose half width is the disc's exact one; if the disc reaches a pole, the band of all
@@ -101,7 +108,7 @@ def disc_edges(centres: DataFrame, radius_km: float) -> DataFrame:
         return F.array(*[F.struct(a[0].alias("x0"), a[1].alias("y0"), b[0].alias("x1"), b[1].alias("y1")) for a, b in zip(at, at[1:] + at[:1], strict=True)])
 
     edges = F.when(polar | (F.abs(lat) > 75), ring(box)).otherwise(ring(octagon))
-    return centres.where(valid_position(lat, F.col("rlon"))).select("rid", "rlat", "rlon", F.inline(edges))
+    return centres.where(valid_position(lat, F.col("rlon"))).select("rid", "rlon", edges.alias("edges"))
 
 
 def near_pairs(left: DataFrame, right: DataFrame, radius_km: float) -> DataFrame:
@@ -112,8 +119,9 @@ def near_pairs(left: DataFrame, right: DataFrame, radius_km: float) -> DataFrame
     """
     at = lambda df, i, a, b: df.where(valid_position(F.col("lat"), F.col("lon"))).select(F.col(i), (F.col("lat") + 0.0).alias(a), (F.col("lon") + 0.0).alias(b)).distinct()
     lefts, rights = at(left, "left_id", "rlat", "rlon"), at(right, "right_id", "plat", "plon")
-    centres = lefts.select("rlat", "rlon").distinct().withColumn("rid", F.struct("rlat", "rlon"))
-    points = rights.select("plat", "plon").distinct().withColumn("pid", F.struct("plat", "plon"))
-    found = points_in_regions(points, disc_edges(centres, radius_km), strip_deg=max(0.02, math.degrees(radius_km / EARTH_RADIUS_KM)))
-    close = found.where(haversine_km(F.col("rlat"), F.col("rlon"), F.col("plat"), F.col("plon")) <= radius_km).select("plat", "plon", "rlat", "rlon")
+    centres = lefts.select("rlat", "rlon").distinct().select(F.struct("rlat", "rlon").alias("rid"), "rlat", "rlon")
+    points = rights.select("plat", "plon").distinct().select(F.struct("plat", "plon").alias("pid"), "plat", "plon")
+    found = points_in_regions(points, disc_regions(centres, radius_km), strip_deg=max(0.02, math.degrees(radius_km / EARTH_RADIUS_KM)))
+    found = found.select("pid.*", "rid.*")
+    close = found.where(haversine_km(F.col("rlat"), F.col("rlon"), F.col("plat"), F.col("plon")) <= radius_km)
     return close.join(rights, ["plat", "plon"]).join(lefts, ["rlat", "rlon"]).select("left_id", "right_id").distinct()
