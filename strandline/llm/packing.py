@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.session import settled
+
 BUCKETS = 64
 
 
@@ -144,6 +146,7 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     """
     spark = items.sparkSession
     sized = items.select("doc_id", F.greatest(F.lit(0), F.coalesce(F.col("n_tokens"), F.lit(0))).cast("int").alias("size"))
+    sized = settled(sized)  # two passes follow, and the sizes may be dear to count
     last = F.greatest(F.lit(0), F.ceil(F.col("size") / capacity).cast("int") - 1)
     pieces = sized.select("doc_id", "size", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     pieces = pieces.select("doc_id", "piece", F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity).alias("length"))
