@@ -90,13 +90,14 @@ _FUNCTION = {w: g for g, words in FUNCTION_WORDS.items() for w in words.split()}
 
 @dataclass(frozen=True)
 class Settings:
-    """topics, vocabulary and passes of each language's model; batch_docs: documents per online step at least; share: the least
+    """Terms in fewer than least_documents documents, or in more than most_share of them, are left out. topics, vocabulary and passes of each language's model; batch_docs: documents per online step at least; share: the least
     share of sentences (between an eighth, a mention in passing, and a fifth); splits: rounds of telling apart subjects that share
     a topic."""
 
-    topics: int = 24
+    topics: int = 20
     vocabulary: int = 20_000
     least_documents: int = 4
+    most_share: float = 0.3
     iterations: int = 30
     batch_docs: int = 2000
     share: float = 0.16
@@ -199,7 +200,7 @@ def _topics(rows: DataFrame, vocabulary: CountVectorizerModel, topics: int, sett
 
 def _fit_group(rows: DataFrame, group: str, settings: Settings) -> TopicModel:
     rows = rows.where(F.col("group") == group)
-    counter = CountVectorizer(inputCol="terms", outputCol="features", minDF=settings.least_documents, vocabSize=settings.vocabulary)
+    counter = CountVectorizer(inputCol="terms", outputCol="features", minDF=settings.least_documents, maxDF=settings.most_share, vocabSize=settings.vocabulary)
     if len(rows.take(settings.least_documents)) < settings.least_documents:
         return TopicModel({})
     vocabulary = counter.fit(rows)
