@@ -64,14 +64,15 @@ def best_filling(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.n
     return counts
 
 
-def configuration_lp(lengths: np.ndarray, demand: np.ndarray, capacity: int, step: float = 0.3, sharpness: float = 3.0, rounds: int = 6000) -> list[tuple[np.ndarray, float]]:
+def configuration_lp(lengths: np.ndarray, demand: np.ndarray, capacity: int, sharpness: float = 3.0, rounds: int = 6000) -> list[tuple[np.ndarray, float]]:
     """(filling, how often) that together cover the demand fractionally, by multiplicative weights.
 
     Prices start at the lengths - with them every full sequence is worth the same - and a length served fraction c of its
     demand costs exp(-sharpness * c) of that. A length served in full is worth nothing. Each round uses the best filling until
-    some length in it gains `step` of its demand, so the rounds needed are about the number of lengths over step; what
-    is uncovered after `rounds` is left to the rounding.
+    some length in it gains a step of its demand. The rounds needed are about the number of lengths over the step, so the fewer
+    lengths, the smaller it is: a 3000th per length. What is uncovered after `rounds` is left to the rounding.
     """
+    step = min(0.3, max(0.01, len(lengths) / 3000))
     volume = lengths / capacity
     covered = np.zeros(len(lengths))
     out: list[tuple[np.ndarray, float]] = []
