@@ -75,3 +75,11 @@ def retry_delay(attempt: Column, base: float, most: float) -> Column:
 def blank(text: Column) -> Column:
     """True for null, empty and white-space text, tabs and line ends included."""
     return F.coalesce(text.rlike(r"^\s*$"), F.lit(True))
+
+
+def stable_uuid(namespace: str, name: Column) -> Column:
+    """Version 5 UUID of the name within a namespace (a UUID)."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
+    variant = F.substring(F.lit("89ab"), F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
+    part = lambda at, size: F.substring(digest, at, size)
+    return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(18, 3), F.lit("-"), part(21, 12))

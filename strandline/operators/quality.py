@@ -92,6 +92,16 @@ def raw_envelope(parsed: DataFrame, now: datetime, tenant: str = "demo") -> Data
     )
 
 
+def ingest_violations(polled: DataFrame, now: datetime, tenant: str = "demo") -> DataFrame:
+    """Audit envelopes of the invalid rows of a poll (see ingest.classified); what couldn't be parsed has no raw text."""
+    parsed = F.struct(*sorted(["source_event_id", "magnitude", "latitude", "longitude", "depth_km", "place", "source_url", "event_time", "updated_time"]))
+    raw = F.when(F.col("problem").isNull(), F.to_json(parsed, {"ignoreNullFields": "false"}))
+    payload = F.struct(F.lit("usgs").alias("origin_source"), "source_event_id", "reasons", raw.alias("raw"))
+    return polled.where("outcome = 'invalid'").select(
+        F.uuid().alias("event_id"), F.lit(VIOLATION_TYPE).alias("event_type"), F.lit(1).alias("event_version"), F.lit("ingestion").alias("source"), F.coalesce("source_event_id", F.lit("unknown")).alias("source_event_id"), F.lit(None).cast("string").alias("source_version"), F.lit(now).alias("event_time"), F.lit(now).alias("ingested_at"), F.uuid().alias("trace_id"), F.lit(None).cast("string").alias("correlation_id"), F.lit(tenant).alias("tenant_id"), payload.alias("payload"),
+    )
+
+
 def shipment_reasons(shipments: DataFrame) -> DataFrame:
     """shipments with `reasons`: arrival before departure, unknown status, negative value. Nulls are not judged."""
     eta, departure = F.col("estimated_arrival_at").try_cast("timestamp"), F.col("planned_departure_at").try_cast("timestamp")

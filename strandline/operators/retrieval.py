@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,22 +76,45 @@ def unembedded(chunk_rows: DataFrame, done: DataFrame, model: str) -> DataFrame:
     return chunk_rows.join(done.where(F.col("model_version") == model).select("chunk_id").distinct(), "chunk_id", "left_anti")
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two arrays of one length; null if either is all zeros."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return dot(a, b) / F.when(norm > 0, norm)
+BLOCK = 2048
+
+
+def _blocks(rows: DataFrame, name: str) -> DataFrame:
+    """Rows (id, vector) packed into rows of up to BLOCK ids and one run of doubles."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), BLOCK):
+                part = pdf.iloc[at : at + BLOCK]
+                yield pd.DataFrame({f"{name}_ids": [part["id"].to_numpy()], f"{name}_vectors": [np.concatenate([np.asarray(v, dtype=float) for v in part["vector"]])]})
+
+    return rows.where("id is not null and vector is not null and size(vector) > 0").mapInPandas(pack, f"{name}_ids array<bigint>, {name}_vectors array<double>")
 
 
 def knn(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(query_id, item_id, similarity, place): the k most similar items of each query, exactly; item_id breaks ties.
+    """(query_id, item_id, similarity, place): the k items of the greatest cosine to each query, exactly; item_id breaks ties.
 
-    queries: query_id, vector - a stated set against all rows: it travels to the items in one row per task, so items are
-    neither shuffled nor paired with each other; each task keeps k items a query. items: item_id, vector.
+    queries: query_id, vector - a stated set, against all rows; items: item_id, vector. Both are packed into blocks, every block of
+    queries meets every block of items in one matrix product that keeps k items a query, and the survivors are ranked. Rows
+    without a vector are left out, vectors of zeros are similar to nothing (0); all vectors have one length.
     """
-    pairs = items.select("item_id", F.col("vector").alias("_v")).join(queries.select("query_id", "vector"), F.lit(True))
-    scored = pairs.select("query_id", "item_id", F.round(cosine(F.col("vector"), F.col("_v")), 6).alias("similarity"))
-    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), "item_id")
+    asked = _blocks(queries.select(F.col("query_id").cast("bigint").alias("id"), "vector"), "q")
+    stock = _blocks(items.select(F.col("item_id").cast("bigint").alias("id"), "vector"), "i")
+
+    def unit(ids: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        m = np.asarray(flat, dtype=float).reshape(len(ids), -1)
+        return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for q_ids, q, i_ids, i in zip(pdf["q_ids"], pdf["q_vectors"], pdf["i_ids"], pdf["i_vectors"], strict=True):
+                order = np.argsort(i_ids, kind="stable")
+                likeness = np.round(unit(q_ids, q) @ unit(i_ids, i)[order].T, 6) + 0.0
+                top = np.argsort(-likeness, axis=1, kind="stable")[:, :k]
+                yield pd.DataFrame({"query_id": np.repeat(q_ids, top.shape[1]), "item_id": np.asarray(i_ids)[order][top].ravel(), "similarity": np.take_along_axis(likeness, top, 1).ravel()})
+
+    scored = stock.crossJoin(asked).mapInPandas(best, "query_id bigint, item_id bigint, similarity double")
+    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
     return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
@@ -142,8 +166,6 @@ def diverse(ranked: DataFrame, k: int, balance: float = 0.7) -> DataFrame:
     """Maximal marginal relevance: (query_id, item_id, place) of k items per query, each the best by balance * final_score minus
     (1 - balance) times its greatest similarity to those chosen. ranked: query_id, item_id, final_score, vector; candidates of a
     query, already limited to a top k, are gathered in one task."""
-    import numpy as np
-
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["final_score", "item_id"], ascending=[False, True])
         v = np.stack(pdf["vector"].to_numpy()).astype(float)

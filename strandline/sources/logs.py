@@ -18,6 +18,16 @@ def stream_topic(spark: SparkSession, root: str, topic: str, files_per_trigger:
     return spark.readStream.schema(topic_schema(topic)).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{root.rstrip('/')}/{topic}")
 
 
+def read_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """(value): one row per file that a poller dropped into the folder."""
+    return spark.read.text(folder, wholetext=True)
+
+
+def stream_feeds(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
+    """The files dropped into the folder as a stream, each poll's file a batch of its own by default."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder, wholetext=True)
+
+
 def kafka_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """Values of a Kafka topic from the earliest offset; needs the Kafka connector on the class path."""
     return spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").load()

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strandline.config import Settings
-from strandline.operators import correlate, quality, state
+from strandline.operators import correlate, ingest, quality, state
 from strandline.operators.dedup import with_content
 from strandline.operators.late_events import EventLedger
 
@@ -38,6 +38,26 @@ def normalize_stream(raw: DataFrame, good: str, audit: str, checkpoint: str, now
     return _start(raw.writeStream.foreachBatch(write), checkpoint, every)
 
 
+def poll_stream(feeds: DataFrame, raw: str, audit: str, markers: str, checkpoint: str, now: datetime, settings: Settings = Settings(), every: str | None = None) -> StreamingQuery:
+    """Take in polls of a GeoJSON feed (value: the text): audit and raw records are written first, and only then are the markers
+    of what was written put into a new version of the marker table, so a batch that fails midway is tried again whole."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = read_versions(spark, markers, below=number)
+        seen = spark.read.parquet(f"{markers}/v={before[-1]}") if before else spark.createDataFrame([], "source_event_id string, seen string")
+        polled = ingest.classified(ingest.parse_features(ingest.features(batch)), seen, now, settings.ingest_skew_s).persist()
+        try:
+            quality.ingest_violations(polled, now).write.mode("overwrite").parquet(f"{audit}/batch={number}")
+            new = polled.where("outcome = 'new'")
+            quality.raw_envelope(new, now).write.mode("overwrite").parquet(f"{raw}/batch={number}")
+            ingest.committed(seen, polled, new).write.mode("overwrite").parquet(f"{markers}/v={number}")
+        finally:
+            polled.unpersist()
+
+    return _start(feeds.writeStream.foreachBatch(write), checkpoint, every)
+
+
 def dedup_stream(events: DataFrame, out: str, checkpoint: str, order: Sequence[str] = ("seq",), arrival: str = "ingested_at", ttl_s: int | None = None, every: str | None = None) -> StreamingQuery:
     """Emit the events whose content differs from what their key said last. State is one digest and one time per key; rows of one
     batch are taken in the order of `order`."""

@@ -1,4 +1,5 @@
 import math
+import uuid
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -173,6 +174,8 @@ def test_text_rules(spark):
     assert one(spark, text.inventory_days_remaining(F.lit(310.0), F.lit(100.0)), text.inventory_days_remaining(F.lit(1.0), F.lit(0.0))) == (3.1, float("inf"))
     assert one(spark, text.consume_inventory(F.lit(1.0), F.lit(864000.0), 2.0, F.lit(1.4))) == (0.0,)
     assert one(spark, *[text.blank(F.lit(t).cast("string")) for t in (None, "", " \t\n", "x")]) == (True, True, True, False)
+    space = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
+    assert one(spark, *[text.stable_uuid(space, F.lit(n)) for n in ("", "supplier-1", "é")]) == tuple(str(uuid.uuid5(uuid.UUID(space), n)) for n in ("", "supplier-1", "é"))
     a, b = text.payload_hash(b=F.lit(1), a=F.lit(None)), text.payload_hash(a=F.lit(None), b=F.lit(1))
     assert len(set(one(spark, a, b))) == 1
 

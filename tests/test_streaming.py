@@ -85,6 +85,23 @@ def test_ledger_stream(spark, tmp_path):
     assert sorted(map(tuple, ledger.figures().select(order).collect()), key=repr) == sorted(map(tuple, want.select(order).collect()), key=repr)
 
 
+def test_poll_stream(spark, tmp_path):
+    from strandline.sources.logs import stream_feeds
+    from tests.test_pipeline import FEED, LATER
+
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    paths = [str(tmp_path / n) for n in ("raw", "audit", "markers", "c")]
+    (drop / "1.json").write_text(FEED)
+    run(runners.poll_stream(stream_feeds(spark, str(drop)), *paths, LATER))
+    (drop / "2.json").write_text(FEED)
+    (drop / "3.json").write_text(FEED.replace("1782896880000", "1782896890000"))
+    run(runners.poll_stream(stream_feeds(spark, str(drop)), *paths, LATER))
+    ids = sorted(r.source_event_id for r in spark.read.parquet(paths[0]).collect())
+    assert ids == ["us7000micro", "us7000valid", "us7000valid"]
+    assert spark.read.parquet(paths[1]).count() == 6
+
+
 def test_lag_metrics(spark):
     at = datetime(2026, 1, 1, tzinfo=timezone.utc)
     df = spark.createDataFrame([(at, at + timedelta(seconds=5)), (at, at)], "event_time timestamp, ingested_at timestamp")
