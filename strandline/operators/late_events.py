@@ -118,7 +118,8 @@ class EventLedger:
     def apply(self, batch: DataFrame, batch_id: int) -> list[int]:
         """Take in one batch; gives the touched periods. The list is bounded: accepted messages fall into periods that were
         open since the last batch."""
-        routed = route(batch, self.rules)
+        # each period's rows go to few files; a period with most of the rows is split by size, not put into one task
+        routed = route(batch, self.rules).hint("rebalance", "period")
         routed.where("verdict in ('on_time', 'late')").withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "period").parquet(f"{self.root}/raw")
         routed.where("verdict in ('too_late', 'unplaced')").withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "verdict").parquet(f"{self.root}/aside")
         folder = self._path(f"{self.root}/raw/batch_id={batch_id}")
@@ -128,7 +129,7 @@ class EventLedger:
             state = self._current()
             version = state["version"] + 1
             raw = self.raw().where(F.col("period").isin(touched))
-            daily_figures(raw).write.mode("overwrite").partitionBy("period").parquet(f"{self.root}/figures/v{version}")
+            daily_figures(raw).hint("rebalance", "period").write.mode("overwrite").partitionBy("period").parquet(f"{self.root}/figures/v{version}")
             state = {"version": version, "periods": state["periods"] | {str(p): version for p in touched}}
             self._swap(state)
         return touched

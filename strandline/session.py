@@ -45,6 +45,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what was written to a scratch path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
