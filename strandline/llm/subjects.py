@@ -22,7 +22,7 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.session import scratch_path
+from strandline.session import discard, scratch_path
 
 #: Terms that name the topics of each subject, by language group.
 ANCHORS: dict[str, dict[str, str]] = {
@@ -239,8 +239,11 @@ def fit_topics(docs: DataFrame, settings: Settings = Settings()) -> dict[str, To
     path = scratch_path(spark, "terms")
     _prepared(docs).write.partitionBy("group").parquet(path)
     rows = spark.read.schema("terms array<string>, group string").parquet(path)
-    with ThreadPoolExecutor(len(LANGUAGES)) as pool:
-        return dict(zip(LANGUAGES, pool.map(lambda g: _fit_group(rows, g, settings), LANGUAGES), strict=True))
+    try:
+        with ThreadPoolExecutor(len(LANGUAGES)) as pool:
+            return dict(zip(LANGUAGES, pool.map(lambda g: _fit_group(rows, g, settings), LANGUAGES), strict=True))
+    finally:
+        discard(spark, path)
 
 
 def sentence_subject(words: list[str], share: dict[str, np.ndarray]) -> int:
