@@ -17,20 +17,19 @@ from pyspark.sql import functions as F
 def best_records(rows: DataFrame, group: Sequence[str], record_id: str, order: Sequence[Column], fields: dict[str, Column | None]) -> DataFrame:
     """(*group, <record_id>, and per field <field>, <field>_<record_id>) of every group with two or more distinct record ids.
 
-    order: ranking columns, best first, without nulls placement left open; record_id breaks ties (smallest first). fields: the
+    order: ranking columns, best first, each with its direction; record_id breaks ties (smallest first). fields: the
     condition under which a record's value of the field may be used, None for "not null"; the value comes from the first record
     in the ranking that meets it, and <field>_<record_id> names that record. Both are null if no record does. A repeated
-    record (same id) is one record. Rows with a null in the group or the id belong to no group. Empty input: no rows.
+    record (same id) is one record. Rows with a null in the group or the id belong to no group. Empty input: no rows. Columns of
+    rows called _kind or _n are ignored and must not be used in the order.
     """
     known = rows.dropna(subset=[*group, record_id])
-    rank_columns = {f"_rank{i}": o for i, o in enumerate(order)}
-    # a sort order is either ascending or descending; the columns are computed once and the direction kept here
     kinds = F.array(
         F.lit(0),
         *[F.when(F.coalesce(ok if ok is not None else F.col(name).isNotNull(), F.lit(False)), F.lit(i + 1)) for i, (name, ok) in enumerate(fields.items())],
     )
     tagged = known.withColumn("_kind", F.explode(F.array_compact(kinds)))
-    w = Window.partitionBy(*group, "_kind").orderBy(*rank_columns.values(), F.col(record_id).asc())
+    w = Window.partitionBy(*group, "_kind").orderBy(*order, F.col(record_id).asc())
     top = tagged.withColumn("_n", F.row_number().over(w)).where("_n = 1")
     picked = [F.max(F.when(F.col("_kind") == 0, F.col(record_id))).alias(record_id)]
     for i, name in enumerate(fields):
