@@ -99,11 +99,11 @@ def inventory_days_remaining(spark, root):
     return views.inventory(spark, root).select("product_id", F.round(text.inventory_days_remaining(F.col("quantity_on_hand"), F.col("average_daily_usage")), 6).alias("days"))
 
 
-@query(f"WITH {INVENTORY_SQL} SELECT product_id, round(greatest(0, quantity_on_hand - average_daily_usage * (3600e0 / 86400) * (0.6 + (product_id % 9) / 10e0)), 4) AS quantity FROM inv WHERE average_daily_usage IS NOT NULL")
+@query(f"WITH {INVENTORY_SQL} SELECT product_id, round(greatest(0, quantity_on_hand - average_daily_usage * (3701e0 / 86400) * (0.6 + (product_id % 9 + 1) / 13e0)), 4) AS quantity FROM inv WHERE average_daily_usage IS NOT NULL")
 def consume_inventory(spark, root):
-    factor = 0.6 + F.col("product_id") % 9 / F.lit(10.0)
+    factor = 0.6 + (F.col("product_id") % 9 + 1) / F.lit(13.0)
     inv = views.inventory(spark, root).where("average_daily_usage is not null")
-    return inv.select("product_id", text.consume_inventory(F.col("quantity_on_hand"), F.col("average_daily_usage"), 3600, factor).alias("quantity"))
+    return inv.select("product_id", text.consume_inventory(F.col("quantity_on_hand"), F.col("average_daily_usage"), 3701, factor).alias("quantity"))
 
 
 @query("SELECT o_orderkey, epoch_us(o_orderdate) + CAST(floor(((o_orderkey % 100) / 100e0 * 120 - 30) * 60000000) AS BIGINT) AS eta_us FROM orders")
