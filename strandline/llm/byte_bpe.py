@@ -18,6 +18,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -149,7 +150,8 @@ def token_ids(text: Column, path: str | None = None) -> Column:
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = encoder(where).encode
         for texts in batches:
-            yield pd.Series([encode(t) if t else [] for t in texts], dtype=object)
+            # four bytes an id at once, as a batch may hold many long texts
+            yield pd.Series([np.array(encode(t) if t else [], dtype=np.int32) for t in texts], dtype=object)
 
     return ids(text)
 

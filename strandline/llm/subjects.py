@@ -138,13 +138,18 @@ def language_group(text: str) -> str:
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
-    @F.pandas_udf("group string, terms array<string>")
+    @F.pandas_udf("group string, terms string")
     def prepare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            clean = [normalized(t) for t in texts]
-            yield pd.DataFrame({"group": [language_group(t) for t in clean], "terms": [terms(t) for t in clean]})
+            groups, joined = [], []
+            for text in texts:
+                clean = normalized(text)
+                groups.append(language_group(clean))
+                joined.append(" ".join(terms(clean)))  # one text a document: lists of terms take many times the memory here
+            yield pd.DataFrame({"group": groups, "terms": joined})
 
-    return docs.where("length(text) > 0").select(prepare("text").alias("p")).select("p.group", "p.terms").where("size(terms) > 0")
+    known = docs.where("length(text) > 0").select(prepare("text").alias("p")).where("p.terms <> ''")
+    return known.select("p.group", F.split("p.terms", " ").alias("terms"))
 
 
 def anchor_rows(vocabulary: list[str], group: str) -> dict[int, list[int]]:
