@@ -35,3 +35,28 @@ def geo_score(distance_km: Column, radius_km: Column) -> Column:
 def valid_position(lat: Column, lon: Column) -> Column:
     """True for a position on the globe; false for null, NaN and out-of-range coordinates."""
     return F.coalesce((lat >= -90) & (lat <= 90) & (lon >= -180) & (lon <= 180), F.lit(False))
+
+
+def cell_width(strip: Column, strip_deg: float) -> Column:
+    """Width in degrees of the longitude cells of a latitude strip: strip_deg at the equator, wider towards the poles, 360 where the
+    strip reaches one."""
+    far = F.least(F.lit(90.0), F.greatest(F.abs(strip * strip_deg), F.abs((strip + 1) * strip_deg)))
+    return F.least(F.lit(360.0), F.lit(strip_deg) / F.greatest(F.cos(F.radians(far)), F.lit(1e-9)))
+
+
+def cell_of(longitude: Column, width: Column) -> Column:
+    """Cell of a longitude, counted from the antimeridian; 180 and -180 are one meridian."""
+    return F.floor(F.pmod(longitude + 180, F.lit(360.0)) / width).cast("int")
+
+
+def cells_between(west: Column, east: Column, width: Column) -> Column:
+    """All cells from one longitude eastward to another, each once. west may lie below -180 and east at 180 or beyond: there the
+    range wraps around. A hair is added at either end to make up for rounding."""
+    low, high = west + (180 - 1e-7), east + (180 + 1e-7)
+    count = F.ceil(F.lit(360.0) / width)
+    at = lambda degrees: F.floor(degrees / width)
+    none = F.array().cast("array<bigint>")
+    inside = F.sequence(at(F.least(F.greatest(low, F.lit(0.0)), F.lit(360 - 1e-9))), at(F.greatest(F.least(high, F.lit(360 - 1e-9)), F.lit(0.0))))
+    before = F.when(low < 0, F.sequence(at(F.greatest(low + 360, F.lit(0.0))), count - 1)).otherwise(none)
+    beyond = F.when(high >= 360, F.sequence(F.lit(0).cast("bigint"), F.least(at(high - 360), count - 1))).otherwise(none)
+    return F.array_distinct(F.concat(inside, before, beyond)).cast("array<int>")

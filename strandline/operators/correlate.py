@@ -1,7 +1,7 @@
 """Impact candidates: events with the facilities within their radius.
 
-Events meet facilities of their own latitude band and its neighbours - an equi-join, exact because a band is wider than the
-largest radius - so neither side is broadcast by force nor compared with all of the other.
+Events meet the facilities of nearby cells only, in an equi-join: a cell is a latitude band, a little wider than the largest
+radius, cut at longitudes as far apart. Neither side is broadcast by force nor compared with all of the other.
 """
 
 from __future__ import annotations
@@ -12,8 +12,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.geo import EARTH_RADIUS_KM, QUAKE_RADII, geo_score, haversine_km, impact_radius_km
+from strandline.functions.geo import EARTH_RADIUS_KM, QUAKE_RADII, cell_of, cell_width, cells_between, geo_score, haversine_km, impact_radius_km, valid_position
 from strandline.functions.text import impact_id
+from strandline.operators.sliced import Carry, slice_of, with_carried
+
+#: arrivals of one slice of a facility's updates
+SLICE_SEQS = 1_000_000
 
 KM_PER_DEGREE = math.pi * EARTH_RADIUS_KM / 180
 
@@ -24,18 +28,28 @@ def with_radius(events: DataFrame) -> DataFrame:
     return events.withColumn("radius_km", radius).where("radius_km is not null")
 
 
-def _band(latitude: Column, width: float) -> Column:
-    return F.floor(latitude / width).cast("int")
-
+def cell_join(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], reach_km: float, within: Column, extra: Column | None = None) -> DataFrame:
+    """left x right rows with `distance_km` at most `within`, which must never exceed reach_km. Rows without a position on the
+    globe meet nothing.
 
-def band_join(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], reach_km: float, within: Column, extra: Column | None = None) -> DataFrame:
-    """left x right rows with `distance_km` at most `within`, which must never exceed reach_km."""
+    A left row is copied to its band and the two beside it, and there to the cells that points within reach can lie in: two or
+    three, more only around the poles. A right row is in one cell.
+    """
     width = reach_km / KM_PER_DEGREE * 1.01
-    banded = left.withColumn("_band", F.explode(F.array(*[_band(F.col(left_at[0]), width) + d for d in (-1, 0, 1)])))
-    on = F.col("_band") == F.col("_rband")
-    met = banded.join(right.withColumn("_rband", _band(F.col(right_at[0]), width)), on if extra is None else on & extra)
-    distance = haversine_km(F.col(left_at[0]), F.col(left_at[1]), F.col(right_at[0]), F.col(right_at[1]))
-    return met.withColumn("distance_km", distance).where(F.col("distance_km") <= within).drop("_band", "_rband")
+    band = lambda latitude: F.floor(latitude / width).cast("int")
+    lat, lon = F.col(left_at[0]), F.col(left_at[1])
+    near = left.where(valid_position(lat, lon)).withColumn("_band", F.explode(F.array(*[band(lat) + d for d in (-1, 0, 1)])))
+    # two points of these bands within reach differ by no more than this in longitude
+    far = F.least(F.lit(90.0), F.greatest(F.abs(F.col("_band") * width), F.abs((F.col("_band") + 1) * width)) + width)
+    half = F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(math.pi / 2, reach_km / EARTH_RADIUS_KM / 2))) / F.greatest(F.cos(F.radians(far)), F.lit(1e-9))))
+    spread = F.degrees(half * 2) * 1.000001
+    near = near.withColumn("_cell", F.explode(cells_between(lon - spread, lon + spread, cell_width(F.col("_band"), width))))
+    there = right.where(valid_position(F.col(right_at[0]), F.col(right_at[1]))).withColumn("_rband", band(F.col(right_at[0])))
+    there = there.withColumn("_rcell", cell_of(F.col(right_at[1]), cell_width(F.col("_rband"), width)))
+    on = (F.col("_band") == F.col("_rband")) & (F.col("_cell") == F.col("_rcell"))
+    met = near.join(there, on if extra is None else on & extra)
+    distance = haversine_km(lat, lon, F.col(right_at[0]), F.col(right_at[1]))
+    return met.withColumn("distance_km", distance).where(F.col("distance_km") <= within).drop("_band", "_rband", "_cell", "_rcell")
 
 
 def _sides(events: DataFrame, facilities: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
@@ -60,14 +74,17 @@ def correlate(events: DataFrame, facilities: DataFrame, now: datetime) -> DataFr
     """Candidates of each event with each facility at most the event's radius away. Facilities of any status count; rows
     without a position, and events without a radius, give nothing; repeated events give repeated candidates."""
     left, right = _sides(events, facilities)
-    return _candidates(band_join(left, right, *AT, MOST_KM, F.col("radius_km")), now)
+    return _candidates(cell_join(left, right, *AT, MOST_KM, F.col("radius_km")), now)
 
 
 def facility_periods(updates: DataFrame) -> DataFrame:
     """facility rows with [from_seq, to_seq): from each update to the next one of the facility; deletes end a period and start
-    none. updates: facility_id, supplier_id, latitude, longitude, deleted, seq."""
-    w = Window.partitionBy("facility_id").orderBy("seq")
-    return updates.withColumn("to_seq", F.lead("seq").over(w)).withColumnRenamed("seq", "from_seq").where("not deleted").drop("deleted")
+    none. updates: facility_id, supplier_id, latitude, longitude, deleted, seq. A facility with many updates is cut into slices."""
+    known = updates.where("facility_id is not null").withColumn("_part", slice_of("seq", SLICE_SEQS))
+    known = with_carried(known, ["facility_id"], "_part", [Carry("_next", F.min("seq"), "last", back=True)])
+    w = Window.partitionBy("facility_id", "_part").orderBy("seq")
+    ended = known.withColumn("to_seq", F.coalesce(F.lead("seq").over(w), "_next")).withColumnRenamed("seq", "from_seq")
+    return ended.where("not deleted").drop("deleted", "_part", "_next")
 
 
 def correlate_asof(events: DataFrame, updates: DataFrame, now: datetime) -> DataFrame:
@@ -75,11 +92,11 @@ def correlate_asof(events: DataFrame, updates: DataFrame, now: datetime) -> Data
     events: with seq on the same scale of arrival as updates."""
     left, right = _sides(events, facility_periods(updates), "from_seq", "to_seq")
     known = (F.col("seq") >= F.col("from_seq")) & (F.col("to_seq").isNull() | (F.col("seq") < F.col("to_seq")))
-    return _candidates(band_join(left, right, *AT, MOST_KM, F.col("radius_km"), known), now)
+    return _candidates(cell_join(left, right, *AT, MOST_KM, F.col("radius_km"), known), now)
 
 
 def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:
     """(event_id, facility_id, distance_km) within one radius, in either direction of looking."""
     left = events.select("event_id", F.col("payload.latitude").alias("event_latitude"), F.col("payload.longitude").alias("event_longitude"))
     right = facilities.select("facility_id", F.col("latitude").alias("asset_latitude"), F.col("longitude").alias("asset_longitude"))
-    return band_join(left, right, *AT, radius_km, F.lit(radius_km)).select("event_id", "facility_id", "distance_km")
+    return cell_join(left, right, *AT, radius_km, F.lit(radius_km)).select("event_id", "facility_id", "distance_km")

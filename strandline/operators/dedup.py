@@ -7,12 +7,11 @@ play no part. With a time to live, the state of a key lapses that long after its
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.text import content_hash, dedup_key
+from strandline.operators.sliced import Carry, slice_of, with_carried
 
 
 def with_content(events: DataFrame) -> DataFrame:
@@ -20,18 +19,28 @@ def with_content(events: DataFrame) -> DataFrame:
     return events.withColumn("dedup_key", dedup_key(F.col("source"), F.col("source_event_id"))).withColumn("content_hash", content_hash(F.col("event_time")))
 
 
-def decisions(events: DataFrame, order: Sequence[str] = ("seq",), arrival: str | None = None, ttl_s: int | None = None) -> DataFrame:
-    """events with `decision`. order: columns of arrival order, unique within a key; arrival: timestamp the time to live is
-    measured by. Events without a key are NEW each."""
-    w = Window.partitionBy("dedup_key").orderBy(*order)
-    before = F.lag("content_hash").over(w)
+def decisions(events: DataFrame, order: str = "seq", arrival: str | None = None, ttl_s: int | None = None, slice_seqs: int = 1_000_000) -> DataFrame:
+    """events with `dedup_key`, `content_hash` and `decision`. order: number of arrival, unique within a key; arrival: timestamp
+    the time to live is measured by. Events without a key are NEW each.
+
+    A key is cut into slices of slice_seqs arrivals, each entered with the last state of the slices before, so that one
+    key may hold any share of the events.
+    """
+    state = F.struct(F.col("content_hash"), (F.unix_micros(arrival) if arrival else F.lit(None).cast("long")).alias("at"))
+    rows = with_content(events)
+    keyed = rows.where("dedup_key is not null").withColumn("_part", slice_of(order, slice_seqs)).withColumn("_state", state)
+    keyed = with_carried(keyed, ["dedup_key"], "_part", [Carry("_far", F.max_by("_state", order))])
+    w = Window.partitionBy("dedup_key", "_part").orderBy(order)
+    before = F.coalesce(F.lag("_state").over(w), "_far")
+    keyed = keyed.withColumn("_before", before)
+    new = F.col("_before").isNull()
     if ttl_s is not None:
-        lapsed = F.unix_micros(arrival) - F.lag(F.unix_micros(arrival)).over(w) >= ttl_s * 1_000_000
-        before = F.when(~lapsed, before)
-    decided = F.when(F.col("dedup_key").isNull() | F.col("_before").isNull(), "NEW").when(F.col("_before") == F.col("content_hash"), "DROP").otherwise("UPDATE")
-    return with_content(events).withColumn("_before", before).withColumn("decision", decided).drop("_before")
+        new = new | (F.col("_state.at") - F.col("_before.at") >= ttl_s * 1_000_000)
+    decided = F.when(new, "NEW").when(F.col("_before.content_hash") == F.col("content_hash"), "DROP").otherwise("UPDATE")
+    keyed = keyed.withColumn("decision", decided).select(*rows.columns, "decision")
+    return keyed.unionByName(rows.where("dedup_key is null").withColumn("decision", F.lit("NEW")))
 
 
-def deduplicated(events: DataFrame, order: Sequence[str] = ("seq",), arrival: str | None = None, ttl_s: int | None = None) -> DataFrame:
+def deduplicated(events: DataFrame, order: str = "seq", arrival: str | None = None, ttl_s: int | None = None) -> DataFrame:
     """The events that are NEW or UPDATE, unchanged."""
     return decisions(events, order, arrival, ttl_s).where("decision <> 'DROP'").drop("dedup_key", "content_hash", "decision")

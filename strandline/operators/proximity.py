@@ -15,19 +15,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.geo import EARTH_RADIUS_KM, haversine_km, valid_position
+from strandline.functions.geo import EARTH_RADIUS_KM, cell_of, cell_width, cells_between, haversine_km, valid_position
 
 #: Points per cell beyond which the cell is split.
 CELL_POINTS = 20_000
 CORNERS = 8
 
 
-def _cell_width(strip: Column, strip_deg: float) -> Column:
-    """Width in degrees of the longitude cells of a strip: strip_deg at the equator, 360 where a strip reaches a pole."""
-    far = F.least(F.lit(90.0), F.greatest(F.abs(strip * strip_deg), F.abs((strip + 1) * strip_deg)))
-    return F.least(F.lit(360.0), F.lit(strip_deg) / F.greatest(F.cos(F.radians(far)), F.lit(1e-9)))
-
-
 def _strip(lat: Column, strip_deg: float) -> Column:
     return F.floor(lat / F.lit(strip_deg)).cast("int")
 
@@ -42,7 +36,7 @@ def points_in_regions(points: DataFrame, regions: DataFrame, strip_deg: float =
     Cells with more than cell_points points are split by point, and the edges there are copied to the parts.
     """
     pts = points.where(valid_position(F.col("plat"), F.col("plon"))).select("pid", "plat", "plon")
-    pts = pts.withColumn("strip", _strip(F.col("plat"), strip_deg)).withColumn("cell", F.floor(F.pmod(F.col("plon") + 180, F.lit(360.0)) / _cell_width(F.col("strip"), strip_deg)).cast("int"))
+    pts = pts.withColumn("strip", _strip(F.col("plat"), strip_deg)).withColumn("cell", cell_of(F.col("plon"), cell_width(F.col("strip"), strip_deg)))
 
     # an edge counts in every strip that its latitudes touch, both ends included
     low_high = lambda e: (F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"]))
@@ -54,18 +48,9 @@ def points_in_regions(points: DataFrame, regions: DataFrame, strip_deg: float =
         F.array_max(F.transform("edges", lambda e: F.greatest(e["x0"], e["x1"]))).alias("east"),
         F.explode(F.sequence(_strip(F.array_min(F.transform("edges", lambda e: low_high(e)[0])), strip_deg), _strip(F.array_max(F.transform("edges", lambda e: low_high(e)[1])), strip_deg))).alias("strip"),
     )
-    width = _cell_width(F.col("strip"), strip_deg)
     touching = F.filter("edges", lambda e: (_strip(low_high(e)[0], strip_deg) <= F.col("strip")) & (_strip(low_high(e)[1], strip_deg) >= F.col("strip")))
-    # degrees east of the antimeridian, a hair wider than the region to make up for rounding; below 0 and from 360 on it wraps
-    west, east = F.col("rlon") + F.col("west") + (180 - 1e-7), F.col("rlon") + F.col("east") + (180 + 1e-7)
-    count = F.ceil(F.lit(360.0) / width)
-    cell_at = lambda degrees: F.floor(degrees / width)
-    none = F.array().cast("array<bigint>")
-    inside = F.sequence(cell_at(F.greatest(west, F.lit(0.0))), cell_at(F.least(east, F.lit(360 - 1e-9))))
-    before = F.when(west < 0, F.sequence(cell_at(west + 360), count - 1)).otherwise(none)
-    beyond = F.when(east >= 360, F.sequence(F.lit(0).cast("bigint"), cell_at(east - 360))).otherwise(none)
-    wrapped = F.array_distinct(F.concat(inside, before, beyond))
-    cut = cut.select("rid", "rlon", "strip", touching.alias("edges"), F.explode(wrapped.cast("array<int>")).alias("cell"))
+    cells = cells_between(F.col("rlon") + F.col("west"), F.col("rlon") + F.col("east"), cell_width(F.col("strip"), strip_deg))
+    cut = cut.select("rid", "rlon", "strip", touching.alias("edges"), F.explode(cells).alias("cell"))
 
     # full cells: at most points / cell_points of them; left to the planner to broadcast if they are few
     full = pts.groupBy("strip", "cell").agg(F.count("*").alias("n")).where(F.col("n") > cell_points).select("strip", "cell", F.ceil(F.col("n") / cell_points).cast("int").alias("parts"))

@@ -120,6 +120,10 @@ def test_dedup(spark):
     assert [r.decision for r in dedup.decisions(rows).orderBy("seq").collect()] == ["NEW", "DROP", "UPDATE", "UPDATE", "UPDATE", "NEW", "DROP", "DROP"]
     assert [r.decision for r in dedup.decisions(rows, arrival="ingested_at", ttl_s=3600).orderBy("seq").collect()][-3:] == ["NEW", "DROP", "DROP"]
     assert [r.decision for r in dedup.decisions(rows, arrival="ingested_at", ttl_s=45 * 60).orderBy("seq").collect()][-3:] == ["NEW", "NEW", "NEW"]
+    for width in (1, 2, 3):
+        assert [r.decision for r in dedup.decisions(rows, slice_seqs=width).orderBy("seq").collect()] == ["NEW", "DROP", "UPDATE", "UPDATE", "UPDATE", "NEW", "DROP", "DROP"]
+    lost = dedup.decisions(events(spark, (1, None, 1.0, "active", 0), (2, None, 1.0, "active", 0)))
+    assert [r.decision for r in lost.collect()] == ["NEW", "NEW"]
     once = dedup.deduplicated(rows)
     assert once.columns == rows.columns
     assert sorted(r.seq for r in dedup.deduplicated(once).collect()) == sorted(r.seq for r in once.collect())

@@ -74,3 +74,21 @@ def test_empty_sides(spark):
     some = spark.createDataFrame([("a", 1.0, 1.0)], "right_id string, lat double, lon double")
     assert P.near_pairs(none, some, 5.0).count() == 0
     assert P.near_pairs(some.withColumnRenamed("right_id", "left_id"), some.limit(0), 5.0).count() == 0
+
+
+@pytest.mark.parametrize("km", [5.0, 250.0, 4000.0, 15000.0])
+def test_facilities_near_everywhere(spark, km):
+    from strandline.operators.correlate import facilities_near
+
+    rng = random.Random(6)
+    spread = 3 * km / 111
+    rows = []
+    for i in range(180):
+        lat, lon = CENTRES[i % len(CENTRES)]
+        lat = max(-90.0, min(90.0, lat + rng.uniform(-1, 1) * spread))
+        rows.append((f"r{i}", lat, (lon + rng.uniform(-1, 1) * spread / max(0.02, math.cos(math.radians(lat))) + 540) % 360 - 180))
+    rows += [("pole", 90.0, 0.0), ("anti", 0.0, 180.0), ("same", 0.0, -180.0), ("none", None, 1.0), ("off", 99.0, 1.0)]
+    ev = spark.createDataFrame([(i, (a, b)) for i, a, b in rows], "event_id string, payload struct<latitude:double,longitude:double>")
+    fac = spark.createDataFrame(rows, "facility_id string, latitude double, longitude double")
+    got = [(r.event_id, r.facility_id) for r in facilities_near(ev, fac, km).collect()]
+    assert len(got) == len(set(got)) and set(got) == near_by_hand(rows, rows, km)
