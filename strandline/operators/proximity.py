@@ -1,7 +1,7 @@
 """Points in regions by crossing parity, and points within a distance of other points.
 
 Method: the edges of every region are binned into latitude strips; a point meets the edges of its own strip only, and the
-crossings of the eastward ray from the point are counted by (point, region): odd means inside. Points on an edge are found
+crossings of the eastward ray from the point are grouped by (point, region) and counted: odd means inside. Points on an edge are found
 explicitly and count as inside (regions are closed). Within a strip, points and edges also share a longitude cell, whose
 width grows towards the poles so that a small region touches a bounded number of cells. Longitudes are taken relative to the
 middle of the region, modulo 360, so regions across the antimeridian need no copies of points, and a region that holds a pole
@@ -57,18 +57,29 @@ def points_in_regions(points: DataFrame, regions: DataFrame, strip_deg: float =
     pts = pts.join(full, ["strip", "cell"], "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("pid"), F.coalesce("parts", F.lit(1))).cast("int"))).drop("parts")
     cut = cut.join(full, ["strip", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
 
-    met = pts.join(cut, ["strip", "cell", "part"])
+    # a point is in one strip, cell and part, and there meets all edges of a region in one row: that row is the group of the
+    # crossings of its ray with the region, so they are counted without moving rows again
     x = F.pmod(F.col("plon") - F.col("rlon") + 180, F.lit(360.0)) - 180
-    met = met.select("pid", "rid", "plat", x.alias("x"), F.inline("edges"))
-    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
-    met = met.where((F.col("plat") >= low) & (F.col("plat") <= high))
-    level = F.col("y0") == F.col("y1")
-    at = F.col("x0") + (F.col("plat") - F.col("y0")) / F.when(~level, F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
-    within = lambda v: (v >= F.least("x0", "x1")) & (v <= F.greatest("x0", "x1"))
-    on_edge = F.when(level, within(F.col("x")) | ((F.abs(F.col("x")) == 180) & within(-F.col("x")))).otherwise((at == F.col("x")) | ((F.abs(F.col("x")) == 180) & (at == -F.col("x"))))
-    crosses = ~level & (F.col("plat") < high) & (at > F.col("x"))
-    met = met.select("pid", "rid", on_edge.alias("edge"), F.coalesce(crosses, F.lit(False)).cast("int").alias("cross")).where("edge or cross = 1")
-    return met.groupBy("pid", "rid").agg(F.sum("cross").alias("crossings"), F.max("edge").alias("edge")).where("edge or crossings % 2 = 1").select("pid", "rid")
+    met = pts.join(cut, ["strip", "cell", "part"]).select("pid", "rid", "plat", x.alias("x"), "edges")
+    y, x = F.col("plat"), F.col("x")
+
+    def crossing(e: Column) -> Column:
+        """Where the latitude of the point meets the edge, null for a level one."""
+        return e["x0"] + (y - e["y0"]) / F.when(e["y0"] != e["y1"], e["y1"] - e["y0"]) * (e["x1"] - e["x0"])
+
+    def crossed(e: Column) -> Column:
+        low, high = low_high(e)
+        return F.coalesce((y >= low) & (y < high) & (crossing(e) > x), F.lit(False))
+
+    def on_edge(e: Column) -> Column:
+        low, high = low_high(e)
+        within = lambda v: (v >= F.least(e["x0"], e["x1"])) & (v <= F.greatest(e["x0"], e["x1"]))
+        sides = F.abs(x) == 180  # the meridian opposite is both of its sides
+        level = within(x) | (sides & within(-x))
+        slope = (crossing(e) == x) | (sides & (crossing(e) == -x))
+        return (y >= low) & (y <= high) & F.when(e["y0"] == e["y1"], level).otherwise(slope)
+
+    return met.where((F.size(F.filter("edges", crossed)) % 2 == 1) | F.exists("edges", on_edge)).select("pid", "rid")
 
 
 def disc_regions(centres: DataFrame, radius_km: float) -> DataFrame:
