@@ -1,3 +1,4 @@
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -96,6 +97,8 @@ def test_poll_stream(spark, tmp_path):
     run(runners.poll_stream(stream_feeds(spark, str(drop)), *paths, LATER))
     (drop / "2.json").write_text(FEED)
     (drop / "3.json").write_text(FEED.replace("1782896880000", "1782896890000"))
+    for n in (2, 3):  # the source takes files in the order of their times
+        os.utime(drop / f"{n}.json", (2_000_000_000 + n, 2_000_000_000 + n))
     run(runners.poll_stream(stream_feeds(spark, str(drop)), *paths, LATER))
     ids = sorted(r.source_event_id for r in spark.read.parquet(paths[0]).collect())
     assert ids == ["us7000micro", "us7000valid", "us7000valid"]
