@@ -1,7 +1,7 @@
 """Subject areas of documents from latent Dirichlet topics.
 
 Method: a distributed latent Dirichlet model is fitted for each language group over all documents; the topics are mapped to
-subjects through their top terms (the anchor terms below were chosen by inspecting fitted topics); and a document gets the
+subjects through their top terms (the anchor terms below were chosen by inspecting fitted topics and terms of labelled documents); and a document gets the
 subjects whose share of its sentences, each given to the subject whose topics explain it best, reaches a threshold. A
 sentence needs evidence from at least two terms, so that a figure of speech or a stray word doesn't count.
 """
