@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +79,13 @@ SUBJECTS = tuple(ANCHORS["en"])
 LANGUAGES = tuple(ANCHORS)
 #: Frequent function words that tell the languages apart.
 FUNCTION_WORDS = {"en": "the and was for with from", "de": "der die das und den wird", "es": "el la los del las por"}
+#: Terms without a subject, left out of the models. No cut by frequency: a text that is copied often makes its own terms frequent.
+STOP_WORDS = {
+    "en": "the and was were for with from that this its while under after over before without according later same meanwhile are has have had been but not",
+    "de": "der die das den dem des und auf eine einen einer einem ein wurde wurden wird ist sind war mit von für bei nach aus nicht auch sich",
+    "es": "del las los por que con una uno para fue fueron más sin sus como este esta entre",
+    "ja": "では した った れた され です ます から まで して いる いた",
+}
 
 _WORD = re.compile(r"[^\W\d_]+")
 _CJK = re.compile(r"[぀-ヿ一-鿿]")
@@ -90,14 +97,13 @@ _FUNCTION = {w: g for g, words in FUNCTION_WORDS.items() for w in words.split()}
 
 @dataclass(frozen=True)
 class Settings:
-    """Terms in fewer than least_documents documents, or in more than most_share of them, are left out. topics, vocabulary and passes of each language's model; batch_docs: documents per online step at least; share: the least
+    """Terms in fewer than least_documents documents, copies counted, are left out unless they are anchor terms. topics, vocabulary and passes of each language's model; batch_docs: documents per online step at least; share: the least
     share of sentences (between an eighth, a mention in passing, and a fifth); splits: rounds of telling apart subjects that share
     a topic."""
 
     topics: int = 20
     vocabulary: int = 20_000
     least_documents: int = 4
-    most_share: float = 0.3
     iterations: int = 30
     batch_docs: int = 2000
     share: float = 0.16
@@ -138,6 +144,8 @@ def language_group(text: str) -> str:
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
+    """(group, terms, copies) of each distinct text: a text copied often would else draw topics to itself."""
+
     @F.pandas_udf("group string, terms string")
     def prepare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
@@ -149,7 +157,20 @@ def _prepared(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"group": groups, "terms": joined})
 
     known = docs.where("length(text) > 0").select(prepare("text").alias("p")).where("p.terms <> ''")
-    return known.select("p.group", F.split("p.terms", " ").alias("terms"))
+    texts = known.select("p.group", "p.terms").groupBy("group", "terms").agg(F.count("*").alias("copies"))
+    # in a fixed order, so that the samples of a fit don't hang on which shuffle block came first
+    return texts.sortWithinPartitions("group", "terms").select("group", F.split("terms", " ").alias("terms"), "copies")
+
+
+def group_vocabulary(rows: DataFrame, group: str, settings: Settings) -> list[str]:
+    """Terms of the group's model, anchor terms and the most frequent first. rows: (terms, copies).
+
+    A document's copies count, so that no term is lost because only copies of one text have it.
+    """
+    anchors = sorted({w for words in ANCHORS[group].values() for w in map(normalized, words.split())})
+    found = rows.select("copies", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.sum("copies").alias("documents"))
+    kept = found.where(F.col("term").isin(anchors) | (F.col("documents") >= settings.least_documents) & ~F.col("term").isin(STOP_WORDS[group].split()))
+    return [r.term for r in kept.orderBy(F.col("term").isin(anchors).desc(), F.col("documents").desc(), "term").limit(settings.vocabulary).collect()]
 
 
 def anchor_rows(vocabulary: list[str], group: str) -> dict[int, list[int]]:
@@ -205,14 +226,13 @@ def _topics(rows: DataFrame, vocabulary: CountVectorizerModel, topics: int, sett
 
 def _fit_group(rows: DataFrame, group: str, settings: Settings) -> TopicModel:
     rows = rows.where(F.col("group") == group)
-    counter = CountVectorizer(inputCol="terms", outputCol="features", minDF=settings.least_documents, maxDF=settings.most_share, vocabSize=settings.vocabulary)
-    if len(rows.take(settings.least_documents)) < settings.least_documents:
+    if (rows.agg(F.sum("copies")).first()[0] or 0) < settings.least_documents:
         return TopicModel({})
-    vocabulary = counter.fit(rows)
-    terms_ = vocabulary.vocabulary
+    terms_ = group_vocabulary(rows, group, settings)
     anchors = anchor_rows(terms_, group)
     if not anchors:
         return TopicModel({})
+    vocabulary = CountVectorizerModel.from_vocabulary(terms_, inputCol="terms", outputCol="features")
 
     def shares(weights: np.ndarray, subject_of: np.ndarray) -> np.ndarray:
         return np.stack([weights[:, subject_of == s].sum(axis=1) for s in range(len(SUBJECTS))], axis=1) / weights.sum(axis=1, keepdims=True)
@@ -239,11 +259,11 @@ def _fit_group(rows: DataFrame, group: str, settings: Settings) -> TopicModel:
 
 
 def fit_topics(docs: DataFrame, settings: Settings = Settings()) -> dict[str, TopicModel]:
-    """A model for each language group, fitted side by side over all documents with text."""
+    """A model for each language group, fitted side by side over the distinct texts of all documents."""
     spark = docs.sparkSession
     path = scratch_path(spark, "terms")
     _prepared(docs).write.partitionBy("group").parquet(path)
-    rows = spark.read.schema("terms array<string>, group string").parquet(path)
+    rows = spark.read.schema("terms array<string>, copies long, group string").parquet(path)
     try:
         with ThreadPoolExecutor(len(LANGUAGES)) as pool:
             return dict(zip(LANGUAGES, pool.map(lambda g: _fit_group(rows, g, settings), LANGUAGES), strict=True))

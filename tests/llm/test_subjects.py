@@ -59,3 +59,14 @@ def test_accuracy_on_labels(spark):
     hit = sum(len(v & found.get(d, set())) for d, v in labels.items())
     assert hit / sum(map(len, labels.values())) > 0.85
     assert hit / sum(len(found.get(d, set())) for d in labels) > 0.85
+
+
+@pytest.mark.skipif(not os.path.exists(ROOT), reason="no test data")
+@pytest.mark.parametrize("lang", ["en", "de"])
+def test_a_text_copied_to_a_third_of_the_rows_keeps_its_subject(spark, lang):
+    docs = table(spark, ROOT, "documents").select("doc_id", "lang", "text")
+    labels = table(spark, ROOT, "labels").groupBy("doc_id").agg(F.collect_set("subject").alias("s"), F.countDistinct("annotator").alias("n"))
+    one = docs.where(F.col("lang") == lang).join(labels, "doc_id").where("size(s) = 1").orderBy(F.col("n").desc(), F.length("text").desc(), "doc_id").first()
+    copies = spark.range(docs.count() // 2).select((F.col("id") + 10**9).alias("doc_id"), F.lit(one.text).alias("text"))
+    found = S.document_subjects(docs.select("doc_id", "text").unionByName(copies)).where(F.col("doc_id") >= 10**9)
+    assert {(r.subject, r["count"]) for r in found.groupBy("subject").count().collect()} == {(one.s[0], docs.count() // 2)}
