@@ -97,7 +97,7 @@ _FUNCTION = {w: g for g, words in FUNCTION_WORDS.items() for w in words.split()}
 
 @dataclass(frozen=True)
 class Settings:
-    """Terms in fewer than least_documents documents, copies counted, are left out unless they are anchor terms. topics, vocabulary and passes of each language's model; batch_docs: documents per online step at least; share: the least
+    """Terms in fewer than least_documents documents, copies counted, are left out unless they are anchor terms. topics, vocabulary and passes of each language's model; passes: how often its steps, `iterations` in number, sample each text, on average and whatever the number of texts; share: the least
     share of sentences (between an eighth, a mention in passing, and a fifth); splits: rounds of telling apart subjects that share
     a topic."""
 
@@ -105,7 +105,7 @@ class Settings:
     vocabulary: int = 20_000
     least_documents: int = 4
     iterations: int = 30
-    batch_docs: int = 2000
+    passes: float = 9.0
     share: float = 0.16
     splits: int = 3
     seed: int = 11
@@ -204,15 +204,14 @@ class TopicModel:
 
 
 def _topics(rows: DataFrame, vocabulary: CountVectorizerModel, topics: int, settings: Settings, seed: int) -> np.ndarray:
-    """Weights (terms, topics) of a model fitted over rows by online variational Bayes."""
+    """Weights (terms, topics) of a model fitted over rows by online variational Bayes. The steps draw with replacement: exp(-passes) of the rows are never drawn."""
     vectors = vocabulary.transform(rows).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = max(1, vectors.count())
         model = LDA(
             k=topics,
             maxIter=settings.iterations,
             optimizer="online",
-            subsamplingRate=min(1.0, max(0.05, settings.batch_docs / n)),
+            subsamplingRate=min(1.0, settings.passes / settings.iterations),
             learningOffset=16,
             learningDecay=0.6,
             docConcentration=[0.05] * topics,

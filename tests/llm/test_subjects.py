@@ -70,3 +70,12 @@ def test_a_text_copied_to_a_third_of_the_rows_keeps_its_subject(spark, lang):
     copies = spark.range(docs.count() // 2).select((F.col("id") + 10**9).alias("doc_id"), F.lit(one.text).alias("text"))
     found = S.document_subjects(docs.select("doc_id", "text").unionByName(copies)).where(F.col("doc_id") >= 10**9)
     assert {(r.subject, r["count"]) for r in found.groupBy("subject").count().collect()} == {(one.s[0], docs.count() // 2)}
+
+
+def test_a_model_passes_over_its_texts_equally_often_at_every_size(spark, monkeypatch):
+    seen, original = [], S.LDA
+    monkeypatch.setattr(S, "LDA", lambda **k: seen.append(k["maxIter"] * k["subsamplingRate"]) or original(**k | {"maxIter": 1}))
+    vocabulary = S.CountVectorizerModel.from_vocabulary(["storm", "vessel"], inputCol="terms", outputCol="features")
+    for n in (40, 50_000):
+        S._topics(spark.range(n).select(F.array(F.lit("storm"), F.lit("vessel")).alias("terms")), vocabulary, 2, S.Settings(), 1)
+    assert seen[0] == seen[1] >= 8
