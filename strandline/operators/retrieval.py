@@ -91,12 +91,12 @@ def _blocks(rows: DataFrame, name: str) -> DataFrame:
     return rows.where("id is not null and vector is not null and size(vector) > 0").mapInPandas(pack, f"{name}_ids array<bigint>, {name}_vectors array<double>")
 
 
-def knn(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(query_id, item_id, similarity, place): the k items of the greatest cosine to each query, exactly; item_id breaks ties.
+def similarities(queries: DataFrame, items: DataFrame, k: int | None = None) -> DataFrame:
+    """(query_id, item_id, similarity): the cosine of each query with every item, or with the k best of each block of items.
 
-    queries: query_id, vector - a stated set, against all rows; items: item_id, vector. Both are packed into blocks, every block of
-    queries meets every block of items in one matrix product that keeps k items a query, and the survivors are ranked. Rows
-    without a vector are left out, vectors of zeros are similar to nothing (0); all vectors have one length.
+    queries: query_id, vector - a stated set; items: item_id, vector. Both are packed into blocks, and every block of queries meets
+    every block of items in one matrix product. Rows without a vector are left out, vectors of zeros are similar to nothing
+    (0); all vectors have one length.
     """
     asked = _blocks(queries.select(F.col("query_id").cast("bigint").alias("id"), "vector"), "q")
     stock = _blocks(items.select(F.col("item_id").cast("bigint").alias("id"), "vector"), "i")
@@ -113,7 +113,15 @@ def knn(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
                 top = np.argsort(-likeness, axis=1, kind="stable")[:, :k]
                 yield pd.DataFrame({"query_id": np.repeat(q_ids, top.shape[1]), "item_id": np.asarray(i_ids)[order][top].ravel(), "similarity": np.take_along_axis(likeness, top, 1).ravel()})
 
-    scored = stock.crossJoin(asked).mapInPandas(best, "query_id bigint, item_id bigint, similarity double")
+    return stock.crossJoin(asked).mapInPandas(best, "query_id bigint, item_id bigint, similarity double")
+
+
+def knn(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """(query_id, item_id, similarity, place): the k items of the greatest cosine to each query, exactly; item_id breaks ties.
+
+    As similarities, of which each block keeps k items a query; the survivors are ranked.
+    """
+    scored = similarities(queries, items, k)
     w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
     return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
@@ -136,6 +144,15 @@ def bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
     return met.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
 
 
+def candidates(items: DataFrame, queries: DataFrame, vector: DataFrame, lexical: DataFrame) -> DataFrame:
+    """Each item for each query, with vector and bm25 where they are known: no item is lost for want of a query term or a vector.
+
+    items: item_id and further columns; queries: query_id; vector: query_id, item_id, vector; lexical: query_id, item_id, bm25.
+    """
+    both = items.crossJoin(queries.select("query_id").distinct())
+    return both.join(vector, ["query_id", "item_id"], "left").join(lexical, ["query_id", "item_id"], "left")
+
+
 def fused(scores: DataFrame) -> DataFrame:
     """scores (query_id, item_id, vector, bm25, recency, reliability) with final_score: vector and bm25 scaled to 0..1 within the
     query (0 if all are equal), nulls count as 0."""

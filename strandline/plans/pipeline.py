@@ -477,11 +477,14 @@ def bm25(spark, root):
     return _bm25(spark, root).withColumn("score", F.round("score", 4))
 
 
-def _fused(spark, root):
+def _priors(spark, root):
     docs = table(spark, root, "documents").select("doc_id", "source", "published_at")
     age = (F.lit(1782777600) - F.unix_seconds("published_at")) / F.lit(86400.0 * 181)
-    parts = docs.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - age)).alias("recency"), F.when(F.col("source").like("%-wire"), 0.9).otherwise(0.5).alias("reliability"))
-    scored = _bm25(spark, root).withColumnRenamed("score", "bm25").join(parts, "doc_id").withColumn("item_id", F.col("doc_id")).withColumn("vector", F.col("doc_id") % 101 / F.lit(100.0))
+    return docs.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - age)).alias("recency"), F.when(F.col("source").like("%-wire"), 0.9).otherwise(0.5).alias("reliability"))
+
+
+def _fused(spark, root):
+    scored = _bm25(spark, root).withColumnRenamed("score", "bm25").join(_priors(spark, root), "doc_id").withColumn("item_id", F.col("doc_id")).withColumn("vector", F.col("doc_id") % 101 / F.lit(100.0))
     return retrieval.fused(scored)
 
 
@@ -494,6 +497,24 @@ def hybrid_fusion(spark, root):
     return _fused(spark, root).select("query_id", "doc_id", F.round("final_score", 4).alias("final_score"))
 
 
+#: The tables hold no embeddings of questions: that of vec_id 50 n stands in for question n, and vec_id for doc_id.
+_UNION = f"""{_BM25}, ve AS (SELECT CAST(q.vec_id / 50 AS INT) AS query_id, i.vec_id AS doc_id, round(list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 6) AS v FROM embeddings q, embeddings i WHERE q.vec_id IN ({", ".join(str(50 * n) for n, _ in ASKED)})),
+s AS (SELECT a.query_id, d.doc_id, coalesce(score, 0) AS score, coalesce(v, 0) AS v, greatest(0, least(1, 1 - (1782777600 - floor(epoch(published_at))) / (86400e0 * 181))) AS recency, CASE WHEN source LIKE '%-wire' THEN 0.9 ELSE 0.5 END AS rel
+FROM documents d CROSS JOIN {_ASKED_SQL} LEFT JOIN bm ON bm.query_id = a.query_id AND bm.doc_id = d.doc_id LEFT JOIN ve ON ve.query_id = a.query_id AND ve.doc_id = d.doc_id),
+fz AS (SELECT query_id, doc_id, 0.55 * (v - min(v) OVER q) / (max(v) OVER q - min(v) OVER q) + 0.30 * (score - min(score) OVER q) / (max(score) OVER q - min(score) OVER q) + 0.10 * recency + 0.05 * rel AS final_score FROM s WINDOW q AS (PARTITION BY query_id))"""
+
+
+@query(f"WITH {_UNION} SELECT query_id, doc_id, round(final_score, 4) AS final_score FROM fz")
+def hybrid_union(spark, root):
+    """hybrid_fusion over all documents with cosines; that one is over the documents with a query term, as its SQL."""
+    asked = spark.createDataFrame([(n, 50 * n) for n, _ in ASKED], "query_id int, vec_id long")
+    e = table(spark, root, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    vector = retrieval.similarities(asked.join(e, "vec_id").select("query_id", "vector"), e.withColumnRenamed("vec_id", "item_id")).withColumnRenamed("similarity", "vector")
+    lexical = _bm25(spark, root).select("query_id", F.col("doc_id").alias("item_id"), F.col("score").alias("bm25"))
+    scored = retrieval.candidates(_priors(spark, root).withColumnRenamed("doc_id", "item_id"), asked, vector, lexical)
+    return retrieval.fused(scored).select("query_id", F.col("item_id").alias("doc_id"), F.round("final_score", 4).alias("final_score"))
+
+
 @query("""WITH r AS (SELECT l_linenumber AS query_id, l_orderkey AS doc_id, l_partkey AS item_id, sum(l_quantity) AS s FROM lineitem GROUP BY ALL) SELECT query_id, doc_id, item_id, s AS final_score FROM (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id ORDER BY s DESC, item_id) AS n FROM r) WHERE n = 1""")
 def dedupe_same_doc(spark, root):
     ranked = table(spark, root, "lineitem").groupBy(F.col("l_linenumber").alias("query_id"), F.col("l_orderkey").alias("doc_id"), F.col("l_partkey").alias("item_id")).agg(F.sum("l_quantity").alias("final_score"))

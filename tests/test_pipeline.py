@@ -238,3 +238,13 @@ def test_selection(spark):
         spark.createDataFrame([("e1",), ("e2",)], "evidence_id string"),
     )
     assert {tuple(r) for r in bad.select("claim_id", "evidence_id", "problem").collect()} == {("c2", None, "no_evidence"), ("c3", "e2", "inactive"), ("c3", "e3", "not_in_context"), ("c4", "e9", "unknown")}
+
+
+def test_fusion_reaches_documents_without_a_query_term(spark):
+    items = spark.createDataFrame([(1, 1.0, 1.0), (2, 1.0, 1.0), (3, 1.0, 1.0)], "item_id long, recency double, reliability double")
+    queries = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, vector array<double>")
+    vectors = spark.createDataFrame([(1, [0.0, 1.0]), (2, [2.0, 0.0])], "item_id long, vector array<double>")
+    cosine = retrieval.similarities(queries, vectors).withColumnRenamed("similarity", "vector")
+    lexical = spark.createDataFrame([(7, 1, 3.0)], "query_id long, item_id long, bm25 double")
+    got = {r.item_id: round(r.final_score, 6) for r in retrieval.fused(retrieval.candidates(items, queries, cosine, lexical)).collect()}
+    assert got == {1: 0.45, 2: 0.7, 3: 0.15}
