@@ -80,18 +80,44 @@ def normalized_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(name), r"[^\p{L}\p{N} ]+", " "), " +", " "))
 
 
+def _pieces(name: Column, most_edits: int) -> Column:
+    """most_edits + 1 consecutive pieces of a name with their numbers, of equal length up to one letter."""
+    n, parts = F.length(name), most_edits + 1
+    start = lambda i: F.floor(n * i / parts).cast("int")
+    return F.array(*[F.struct(F.lit(i).alias("i"), name.substr(start(i) + 1, start(i + 1) - start(i)).alias("piece")) for i in range(parts)])
+
+
+def near_names(open_: DataFrame, names: DataFrame, most_edits: int) -> DataFrame:
+    """(_name, _other, _id, _d) of each _name of open_ with each name of names (_other, _id) at most most_edits edits away, once each.
+
+    Complete: edits touch at most most_edits of the most_edits + 1 pieces of _other, so one piece stands unchanged in _name, moved by
+    at most most_edits places. Pairs are joined on length of _other, number of the piece and the piece, and then held against
+    the exact distance.
+    """
+    shift = F.sequence(F.lit(-most_edits), F.lit(most_edits))
+    own = names.select("_other", "_id", F.length("_other").alias("_len"), F.inline(_pieces(F.col("_other"), most_edits)))
+    # of _name, what stands where a piece of a name of each possible length would be
+    asked = open_.select("_name", F.explode(F.transform(shift, lambda d: F.length("_name") + d)).alias("_len")).where("_len > 0")
+    start = lambda i: F.floor(F.col("_len") * F.col(i) / (most_edits + 1)).cast("int")
+    asked = asked.select("_name", "_len", F.explode(F.sequence(F.lit(0), F.lit(most_edits))).alias("i")).withColumn("_from", start("i"))
+    asked = asked.withColumn("_size", F.floor(F.col("_len") * (F.col("i") + 1) / (most_edits + 1)).cast("int") - F.col("_from"))
+    asked = asked.select("_name", "_len", "i", "_size", F.explode(F.transform(shift, lambda d: F.col("_from") + d)).alias("_at")).where("_at >= 0")
+    asked = asked.select("_name", "_len", "i", F.col("_name").substr(F.col("_at") + 1, F.col("_size")).alias("piece")).distinct()
+    pairs = asked.join(own, ["_len", "i", "piece"]).select("_name", "_other", "_id").distinct()
+    return pairs.withColumn("_d", F.levenshtein("_name", "_other", most_edits)).where("_d >= 0")
+
+
 def link_entities(mentions: DataFrame, aliases: DataFrame, most_edits: int = 2) -> DataFrame:
-    """mentions with entity_id and how (exact, near or null): by normalized name, else by the nearest name with the same first
-    three letters and at most most_edits edits, ties to the smallest entity_id. Unknown names stay unlinked.
+    """mentions with entity_id and how (exact, near or null): by normalized name, else by the nearest name at most most_edits
+    edits away, ties to the smallest entity_id. Unknown names stay unlinked.
 
     mentions: mention; aliases: entity_id, alias. The nearest name is kept by an aggregate per distinct unlinked name.
     """
     names = aliases.select("entity_id", normalized_name(F.col("alias")).alias("_name")).where("_name <> ''").groupBy("_name").agg(F.min("entity_id").alias("entity_id"))
     asked = mentions.withColumn("_name", normalized_name(F.col("mention")))
     exact = asked.join(names, "_name", "left")
-    open_ = exact.where("entity_id is null and _name <> ''").select("_name").distinct().withColumn("_head", F.substring("_name", 1, 3))
-    near = open_.join(names.select(F.col("_name").alias("_other"), F.col("entity_id").alias("_id"), F.substring("_name", 1, 3).alias("_head")), "_head")
-    near = near.withColumn("_d", F.levenshtein("_name", "_other", most_edits)).where("_d >= 0").groupBy("_name").agg(F.min(F.struct("_d", "_id")).alias("_best"))
+    open_ = exact.where("entity_id is null and _name <> ''").select("_name").distinct()
+    near = near_names(open_, names.select(F.col("_name").alias("_other"), F.col("entity_id").alias("_id")), most_edits).groupBy("_name").agg(F.min(F.struct("_d", "_id")).alias("_best"))
     linked = exact.join(near, "_name", "left")
     how = F.when(F.col("entity_id").isNotNull(), "exact").when(F.col("_best").isNotNull(), "near")
     return linked.select(*mentions.columns, F.coalesce("entity_id", "_best._id").alias("entity_id"), how.alias("how"))

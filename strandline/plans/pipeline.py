@@ -409,10 +409,23 @@ def latency_histogram(spark, root):
 m AS (SELECT DISTINCT normalized_name AS mention, trim(regexp_replace(regexp_replace(lower(normalized_name), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM suppliers_cdc WHERE normalized_name IS NOT NULL)
 SELECT mention, n.entity_id FROM m JOIN n USING (name)""")
 def entity_link(spark, root):
+    return _links(spark, root).where("how = 'exact'").select("mention", "entity_id")
+
+
+def _links(spark, root):
     s = table(spark, root, "suppliers_cdc")
     aliases = s.where(F.col("op").isin("c", "r", "u") & F.col("supplier_name").isNotNull()).select(F.col("supplier_id").alias("entity_id"), F.col("supplier_name").alias("alias"))
     mentions = s.where("normalized_name is not null").select(F.col("normalized_name").alias("mention")).distinct()
-    return features.link_entities(mentions, aliases).where("how = 'exact'").select("mention", "entity_id")
+    return features.link_entities(mentions, aliases)
+
+
+@query("""WITH n AS (SELECT min(supplier_id) AS entity_id, trim(regexp_replace(regexp_replace(lower(supplier_name), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM suppliers_cdc WHERE supplier_name IS NOT NULL AND op IN ('c', 'r', 'u') GROUP BY 2),
+m AS (SELECT DISTINCT normalized_name AS mention, trim(regexp_replace(regexp_replace(lower(normalized_name), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM suppliers_cdc WHERE normalized_name IS NOT NULL),
+d AS (SELECT m.name, min(struct_pack(d := levenshtein(m.name, n.name), id := n.entity_id)).id AS near_id FROM (SELECT DISTINCT name FROM m WHERE name <> '' AND name NOT IN (SELECT name FROM n)) m JOIN n ON n.name <> '' AND levenshtein(m.name, n.name) <= 2 GROUP BY 1)
+SELECT mention, coalesce(n.entity_id, near_id) AS entity_id, CASE WHEN n.entity_id IS NOT NULL THEN 'exact' WHEN near_id IS NOT NULL THEN 'near' END AS how FROM m LEFT JOIN n ON n.name = m.name AND n.name <> '' LEFT JOIN d ON d.name = m.name""")
+def entity_link_all(spark, root):
+    """Every mention with what it is linked to and how, also near ones and those left unlinked; entity_link is its exact part, as its SQL."""
+    return _links(spark, root).select("mention", "entity_id", "how")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 + 1 >= 4 THEN 'dead_letter' ELSE 'retry' END AS route, CASE WHEN o_orderkey % 5 + 1 < 4 THEN 1000000 + CAST(least(pow(2, o_orderkey % 5), 60) * 1000 AS BIGINT) ELSE -1 END AS next_retry_at_ms FROM orders")

@@ -1,4 +1,5 @@
 import math
+import random
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -248,3 +249,31 @@ def test_fusion_reaches_documents_without_a_query_term(spark):
     lexical = spark.createDataFrame([(7, 1, 3.0)], "query_id long, item_id long, bm25 double")
     got = {r.item_id: round(r.final_score, 6) for r in retrieval.fused(retrieval.candidates(items, queries, cosine, lexical)).collect()}
     assert got == {1: 0.45, 2: 0.7, 3: 0.15}
+
+
+def test_linking_finds_every_name_within_two_edits(spark):
+    rng = random.Random(4)
+    known = ["a", "ab", "kite", "galvary systems inc", "fenwold circuits ab", "nordspan foundry oy"] + ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 9))).strip() or "c" for _ in range(40)]
+    asked = ["xalvary systems inc", "glavary systems inc", "alvary systems in"]
+    for name in known:
+        for _ in range(4):
+            at, kind = rng.randrange(len(name) + 1), rng.choice("ids")
+            asked.append(" ".join((name[:at] + rng.choice("abx") * (kind != "d") + name[at + (kind != "i") :]).split()) or "x")
+    names = {}
+    for i, name in enumerate(known):
+        names.setdefault(" ".join(name.split()), f"{i:03d}")
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def want(m):
+        return (names[m], "exact") if m in names else (lambda near: (near[1], "near") if near[0] <= 2 else (None, None))(min((edits(m, n), i) for n, i in names.items()))
+
+    aliases = spark.createDataFrame([(i, n) for n, i in names.items()], "entity_id string, alias string")
+    got = {r.mention: (r.entity_id, r.how) for r in features.link_entities(spark.createDataFrame([(m,) for m in set(asked)], "mention string"), aliases).collect()}
+    assert got == {m: want(m) for m in set(asked)}
