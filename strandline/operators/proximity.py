@@ -85,8 +85,8 @@ def points_in_regions(points: DataFrame, regions: DataFrame, strip_deg: float =
 def disc_regions(centres: DataFrame, radius_km: float) -> DataFrame:
     """(rid, rlon, edges) of a polygon around each disc, as points_in_regions takes them. centres: rid, rlat, rlon.
 
-    An octagon about the disc's box in latitude and longitude, widened by 2 % for the bend of the disc in that plane; beyond
-    75 degrees the box itself, whose half width is the disc's exact one; if the disc reaches a pole, the band of all
+    An octagon about the disc's box in latitude and longitude, widened by 2 % for the bend of the disc in that plane, which is about a
+    fifth of reach * tan(latitude); where that may be more than 1 %, for reaches over 0.2 and beyond 75 degrees the box itself, whose half width is the disc's exact one; if the disc reaches a pole, the band of all
     longitudes. Each holds the whole disc, so an exact distance may cut it down.
     """
     reach = radius_km / EARTH_RADIUS_KM
@@ -103,7 +103,8 @@ def disc_regions(centres: DataFrame, radius_km: float) -> DataFrame:
         at = [(dx * u, F.greatest(F.lit(-90.0), F.least(F.lit(90.0), lat + F.lit(dy * v)))) for u, v in corners]
         return F.array(*[F.struct(a[0].alias("x0"), a[1].alias("y0"), b[0].alias("x1"), b[1].alias("y1")) for a, b in zip(at, at[1:] + at[:1], strict=True)])
 
-    edges = F.when(polar | (F.abs(lat) > 75), ring(box)).otherwise(ring(octagon))
+    bent = F.tan(F.radians(F.abs(lat))) * reach > 0.05
+    edges = F.when(polar | bent | F.lit(reach > 0.2) | (F.abs(lat) > 75), ring(box)).otherwise(ring(octagon))
     return centres.where(valid_position(lat, F.col("rlon"))).select("rid", "rlon", edges.alias("edges"))
 
 

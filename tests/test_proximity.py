@@ -92,3 +92,16 @@ def test_facilities_near_everywhere(spark, km):
     fac = spark.createDataFrame(rows, "facility_id string, latitude double, longitude double")
     got = [(r.event_id, r.facility_id) for r in facilities_near(ev, fac, km).collect()]
     assert len(got) == len(set(got)) and set(got) == near_by_hand(rows, rows, km)
+
+
+@pytest.mark.parametrize(("lat", "km"), [(74.9, 200.0), (74.9, 250.0), (-70.0, 250.0), (60.0, 500.0)])
+def test_the_rim_of_a_wide_disc(spark, lat, km):
+    centre = [("centre", lat, 179.0)]
+    rim = []
+    for i in range(360):
+        a, r, p = math.radians(i), 0.9999 * km / 6371.0088, math.radians(lat)
+        y = math.asin(math.sin(p) * math.cos(r) + math.cos(p) * math.sin(r) * math.cos(a))
+        x = 179 + math.degrees(math.atan2(math.sin(a) * math.sin(r) * math.cos(p), math.cos(r) - math.sin(p) * math.sin(y)))
+        rim.append((f"p{i}", math.degrees(y), (x + 540) % 360 - 180))
+    left, right = spark.createDataFrame(centre, "left_id string, lat double, lon double"), spark.createDataFrame(rim, "right_id string, lat double, lon double")
+    assert {r.right_id for r in P.near_pairs(left, right, km).collect()} == {r[0] for r in rim}
