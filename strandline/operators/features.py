@@ -14,10 +14,10 @@ def active_shipments(shipments: DataFrame) -> DataFrame:
 
 
 def feature_build(impacts: DataFrame, suppliers: DataFrame, orders: DataFrame, shipments: DataFrame, confirmations: DataFrame) -> DataFrame:
-    """Per impact_id: supplier criticality, value and count of open orders, count and ids of active shipments, distinct sources.
+    """Per impact_id: supplier criticality, value and count of open orders, count and value of active shipments, distinct sources.
 
     impacts: impact_id, event_id, asset_id, supplier_id, source_event_id (the latest row per impact_id). Each branch is
-    aggregated by its key before it is joined, so nothing fans out. Ids are kept for at most one row per shipment of a facility.
+    aggregated by its key before it is joined, so nothing fans out. The ids are rows of shipment_ids and order_ids.
     """
     open_orders = orders.where("status = 'open'").groupBy("supplier_id").agg(F.round(F.sum(F.col("quantity") * F.col("unit_price")), 4).alias("open_order_value"), F.count("*").alias("open_order_count"))
     moving = active_shipments(shipments).groupBy(F.col("origin_facility_id").alias("asset_id")).agg(F.count("*").alias("active_shipment_count"), F.round(F.sum("shipment_value"), 2).alias("active_shipment_value"))
@@ -35,6 +35,13 @@ def shipment_ids(impacts: DataFrame, shipments: DataFrame) -> DataFrame:
     return impacts.select("impact_id", "asset_id").distinct().join(moving, "asset_id").select("impact_id", "shipment_id")
 
 
+def order_ids(impacts: DataFrame, orders: DataFrame) -> DataFrame:
+    """(supplier_id, purchase_order_id) of the open orders of each affected supplier. An impact's orders are those of its
+    supplier, once for all its impacts: repeated for each they would grow with impacts times orders."""
+    hit = impacts.select("supplier_id").distinct()
+    return orders.where("status = 'open'").join(hit, "supplier_id", "left_semi").select("supplier_id", "purchase_order_id")
+
+
 def affected_shipments(impacts: DataFrame, shipments: DataFrame, limit: int = 50) -> DataFrame:
     """The most valuable active shipments from affected facilities, at most `limit`; shipment_id breaks ties."""
     hit = active_shipments(shipments).join(impacts.select(F.col("asset_id").alias("origin_facility_id")).distinct(), "origin_facility_id", "left_semi")

@@ -380,6 +380,16 @@ def feature_build(spark, root):
     return out.select("impact_id", "event_id", F.round("open_order_value", 2).alias("open_order_value"), "open_order_count", "active_shipment_count", "source_confirmation_count", "supplier_criticality")
 
 
+@query(f"SELECT impact_id, shipment_id FROM {_LATEST_IMPACTS} i JOIN {_last_sql('shipments_cdc')} s ON s.origin_facility_id = i.asset_id WHERE s.op <> 'd' AND s.status NOT IN ('delivered', 'cancelled')")
+def shipment_ids(spark, root):
+    return features.shipment_ids(_latest_impacts(spark, root), _state(spark, root, "shipments_cdc", "status", "origin_facility_id"))
+
+
+@query(f"SELECT supplier_id, purchase_order_id FROM {_last_sql('purchase_orders_cdc')} WHERE op <> 'd' AND status = 'open' AND supplier_id IN (SELECT supplier_id FROM {_LATEST_IMPACTS} WHERE supplier_id IS NOT NULL)")
+def order_ids(spark, root):
+    return features.order_ids(_latest_impacts(spark, root), _state(spark, root, "purchase_orders_cdc", "supplier_id", "status"))
+
+
 @query(f"SELECT shipment_id, supplier_id, shipment_value FROM {_last_sql('shipments_cdc')} WHERE op <> 'd' AND status NOT IN ('delivered', 'cancelled') AND origin_facility_id IN (SELECT asset_id FROM impact_candidates) ORDER BY shipment_value DESC NULLS LAST, shipment_id LIMIT 50")
 def affected_shipments(spark, root):
     return features.affected_shipments(table(spark, root, "impact_candidates"), _state(spark, root, "shipments_cdc", "supplier_id", "status", "origin_facility_id", "shipment_value"), 50)

@@ -277,3 +277,14 @@ def test_linking_finds_every_name_within_two_edits(spark):
     aliases = spark.createDataFrame([(i, n) for n, i in names.items()], "entity_id string, alias string")
     got = {r.mention: (r.entity_id, r.how) for r in features.link_entities(spark.createDataFrame([(m,) for m in set(asked)], "mention string"), aliases).collect()}
     assert got == {m: want(m) for m in set(asked)}
+
+
+def test_ids_of_an_impact(spark):
+    import __spark_entry__
+
+    assert {"shipment_ids", "order_ids"} <= set(__spark_entry__.queries())
+    impacts = spark.createDataFrame([("i", "f", "s"), ("j", "f", "s"), ("k", "g", None)], "impact_id string, asset_id string, supplier_id string")
+    shipments = spark.createDataFrame([("a", "f", "in_transit"), ("b", "f", "delivered"), ("c", "f", None), ("d", "h", "planned")], "shipment_id string, origin_facility_id string, status string")
+    orders = spark.createDataFrame([("p", "s", "open"), ("q", "s", "closed"), ("r", "t", "open"), ("u", None, "open")], "purchase_order_id string, supplier_id string, status string")
+    assert sorted(tuple(r) for r in features.shipment_ids(impacts, shipments).collect()) == [("i", "a"), ("j", "a")]
+    assert [tuple(r) for r in features.order_ids(impacts, orders).collect()] == [("s", "p")]
