@@ -59,16 +59,17 @@ def p9_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(sized, SEQUENCE_TOKENS)
 
 
+def _subjects(spark: SparkSession, root: str) -> DataFrame:
+    return subjects.document_subjects(table(spark, root, "documents"), table(spark, root, "subjects"))
+
+
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
-    known = table(spark, root, "subjects").select("subject")
-    found = subjects.document_subjects(table(spark, root, "documents")).select("doc_id", "subject").distinct()
-    return found.join(known, "subject", "left_semi").select("doc_id", "subject")
+    return _subjects(spark, root).select("doc_id", "subject").distinct()
 
 
 def p10_composition(spark: SparkSession, root: str) -> DataFrame:
-    """Documents and mean share of sentences by subject."""
-    found = subjects.document_subjects(table(spark, root, "documents"))
-    return found.groupBy("subject").agg(F.count("*").alias("documents"), F.round(F.avg("share"), 3).alias("mean_share"))
+    """Documents and mean proportion by subject."""
+    return _subjects(spark, root).groupBy("subject").agg(F.count("*").alias("documents"), F.round(F.avg("share"), 3).alias("mean_share"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p6_found, p6_records, p8_ids, p9_packing, p10_found, p10_composition)}

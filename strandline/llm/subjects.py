@@ -1,16 +1,17 @@
 """Subject areas of documents from latent Dirichlet topics.
 
-Method: a distributed latent Dirichlet model is fitted for each language group over all documents; the topics are mapped to
-subjects through their top terms (the anchor terms below were chosen by inspecting fitted topics and terms of labelled documents); and a document gets the
-subjects whose share of its sentences, each given to the subject whose topics explain it best, reaches a threshold. A
-sentence needs evidence from at least two terms, so that a figure of speech or a stray word doesn't count.
+Method: a distributed latent Dirichlet model is fitted for each language group over the distinct texts of all documents; its topics
+are mapped to subjects through their top terms, as inspected; and a document gets the subjects whose topics together make up
+enough of its topic proportions, which are inferred for every document under the fitted topics. Topics that hold next to nothing
+of the corpus, fragments of a few texts that mix the others' terms, are left out of that inference, with the terms that are mostly
+theirs. A subject needs at least two different terms in the document, so that a figure of speech or a stray word doesn't count.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -24,59 +25,59 @@ from pyspark.sql import functions as F
 
 from strandline.session import discard, scratch_path
 
-#: Terms that name the topics of each subject, by language group.
-ANCHORS: dict[str, dict[str, str]] = {
+#: The inspection: top terms of topics fitted without labels (30 topics a language, sf0.1), put to the subject whose description
+#: they fit. No label was looked at. They name the topics of every later fit.
+INSPECTED: dict[str, dict[str, str]] = {
     "en": {
-        "seismic": "fault tremor quakes aftershock bedrock",
-        "weather": "snow river showers gale sheeting",
-        "fire": "flames smoke blaze embers scorched",
-        "shipping": "anchorage reefer congestion rerouted booking",
-        "labour": "wage rosters bargaining dismissals lockout",
-        "trade_law": "embargo consignments tribunal provenance decree",
-        "finance": "coupon liquidity analysts repayment creditors",
-        "production": "solder spindles substrates requalification throughput",
-        "cyber": "ransom mailboxes phishing credentials corrupted",
-        "health": "pharmacies microbial vaccine ward antibiotic",
+        "seismic": "fault fissures aftershock geologists anchoring ground",
+        "weather": "froze drowned soaked reservoir sheeting washed",
+        "fire": "flames embers firebreak scorched soot gutted",
+        "shipping": "anchorage reefer congestion rerouted empties discharged",
+        "labour": "employer voted rosters inflation unlawful strikes",
+        "trade_law": "provenance judicial freezes consignments declarations appeal",
+        "finance": "coupon liquidity analysts repayment payables refinanced",
+        "production": "solder spindles throughput requalification scrapped voids",
+        "cyber": "mailboxes corrupted outsider restored error exposed",
+        "health": "pharmacies microbial saline kitchen assay procedures",
     },
     "de": {
-        "seismic": "nachbeben bruchzone tsunamiwarnung bezirken verankerung",
-        "weather": "dauerregen hochwasser orkan kältefront niedrigwasser",
-        "fire": "großbrand qualm glut staubexplosion gelöscht",
-        "shipping": "liegeplatz reede frachtführer containerzug binnenschleuse",
-        "labour": "betriebsrat gewerkschaft warnstreik lohnangebot ausstand",
-        "trade_law": "embargo strafzoll ausfuhrgenehmigung herkunftsnachweis finanzgericht",
-        "finance": "kreditlinie quartalsgewinn insolvenzanmeldung herabgestuft verbindlichkeiten",
-        "production": "substrate toleranz ersatzspindeln pilotserie ausbeute",
-        "cyber": "erpressungstrojaner zugangsdaten firewall verschlüsselte zurückgerollt",
-        "health": "impfstofflieferung klinik quarantäne apotheken keimtest",
+        "seismic": "erdstoss bruchzone geologen messnetz nachbeben tsunamiwarnung",
+        "weather": "niedrigwasser kältefront orkan dauerregen hochwasser unterspülte",
+        "fire": "staubexplosion feuerwehr glut grossbrand russwolke qualm",
+        "shipping": "frachtführer reede containerzug binnenschleuse liegeplatz kühlcontainer",
+        "labour": "betriebsrat gewerkschaft lohnangebot dienstpläne ausstand warnstreik",
+        "trade_law": "strafzoll herkunftsnachweis ausfuhrgenehmigung finanzgericht lieferkettengesetz embargo",
+        "finance": "verbindlichkeiten insolvenzanmeldung kreditlinie bonität quartalsgewinn kupferpreis",
+        "production": "pilotserie toleranz ausbeute gusswerkzeug ersatzspindeln substrate",
+        "cyber": "bestellportal erpressungstrojaner zugangsdaten firewall zertifikat verschlüsselte",
+        "health": "apotheken impfstofflieferung ausbruch keimtest quarantäne klinik",
     },
     "es": {
-        "seismic": "réplica temblor falla maremoto sismógrafos",
-        "weather": "tormenta granizo sequía crecida tejado",
-        "fire": "llamas humareda cortafuegos hectáreas explosión",
-        "shipping": "naviera esclusa fondeado muelle contenedores",
-        "labour": "huelga comité estibadores salarial horarios",
-        "trade_law": "arancel embargo procedencia exportación aduanero",
-        "finance": "previsiones crediticia acreedores pagos concurso",
-        "production": "tolerancia sustratos husillos piloto chatarra",
-        "cyber": "parche carpetas contraseñas cifró caducado",
-        "health": "vacunas cuarentena brote farmacias microbiano",
+        "seismic": "cráter réplica falla sismógrafos maremoto agrietó",
+        "weather": "tormenta granizo heló sequía crecida inundó",
+        "fire": "llamas hectáreas humareda explosión incendio resina",
+        "shipping": "naviera muelle fondeado contenedores esclusa buque",
+        "labour": "comité huelga salarial horarios votó estibadores",
+        "trade_law": "embargo arancel procedencia aduanero tribunal exportación",
+        "finance": "previsiones crediticia calificación acreedores concurso trimestral",
+        "production": "chatarra molde sustratos tolerancia husillos recalificación",
+        "cyber": "certificado cifró carpetas contraseñas parche rescate",
+        "health": "microbiano vacunas brote cuarentena hospital farmacias",
     },
     "ja": {
-        "seismic": "地震 津波 断層 余震 震が",
-        "weather": "台風 大雨 寒波 氾濫 浸水",
-        "fire": "火災 延焼 爆発 黒煙 山林",
-        "shipping": "貨物 着岸 列車 沖で 岸壁",
-        "labour": "労働 組合 勤務 夜勤 賃金",
-        "trade_law": "輸出 関税 控訴 税関 禁輸",
-        "finance": "融資 倒産 格付 先物 予想",
-        "production": "公差 歩留 鋳造 試作 認定",
-        "cyber": "認証 暗号 漏ら 不正 巻き",
-        "health": "ワク 検査 感染 手術 細菌",
+        "seismic": "津波 震が 亀裂 観測 揺れ",
+        "weather": "寒波 大雨 氾濫 河川 濃霧 浸水",
+        "fire": "延焼 燃え 焼い え移 焼を",
+        "shipping": "貨物 沖で 列車 降ろ 着岸",
+        "labour": "勤務 務表 安全 拒否 条件",
+        "trade_law": "控訴 訴審 税率 義務 証出",
+        "finance": "予想 支払 上回 払い 賄え",
+        "production": "公差 再認 認定 合格 廃棄 金型",
+        "cyber": "認証 暗号 漏ら 共有 情報",
+        "health": "検査 細菌 手術 感染 汚染",
     },
 }
-SUBJECTS = tuple(ANCHORS["en"])
-LANGUAGES = tuple(ANCHORS)
+LANGUAGES = tuple(INSPECTED)
 #: Frequent function words that tell the languages apart.
 FUNCTION_WORDS = {"en": "the and was for with from", "de": "der die das und den wird", "es": "el la los del las por"}
 #: Terms without a subject, left out of the models. No cut by frequency: a text that is copied often makes its own terms frequent.
@@ -89,31 +90,40 @@ STOP_WORDS = {
 
 _WORD = re.compile(r"[^\W\d_]+")
 _CJK = re.compile(r"[぀-ヿ一-鿿]")
-_TAG = re.compile(r"<[^<>]{1,300}>")
+_TAG = re.compile(r"<[^<>]+>")
+_PAIR = re.compile(r'"[^"{}]*"\s*:\s*(?:null|true|false|[-+\d.eE]+)')
+_SPEAKER = re.compile(r"^\s*\[\d{1,2}:\d{2}\] *[\w-]+:", re.MULTILINE)
 _HIDDEN = re.compile(r"[­​-‏‪-‮⁠﻿]")
-_END = re.compile(r"(?<=[!?])\s+|(?<=[^\d\s]\.)\s+|\n+|(?<=。)|\|")
 _FUNCTION = {w: g for g, words in FUNCTION_WORDS.items() for w in words.split()}
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Terms in fewer than least_documents documents, copies counted, are left out unless they are anchor terms. topics, vocabulary and passes of each language's model; passes: how often its steps, `iterations` in number, sample each text, on average and whatever the number of texts; share: the least
-    share of sentences (between an eighth, a mention in passing, and a fifth); splits: rounds of telling apart subjects that share
-    a topic."""
-
-    topics: int = 20
+    """topics, vocabulary (most terms, the most frequent first), least_documents (terms in fewer documents of a language, copies
+    counted, are left out unless they name a subject; in a language with fewer documents, terms that aren't in all), and passes
+    of each language's model: how often its steps, `iterations` in number, sample each text, on average and whatever the number of
+    texts. share: the least part of a document's topic proportions, midway between an eighth, a mention in passing, and a
+    fifth. attempts: fits, each with half as many topics more, while a subject's terms are there but it has no topic of
+    its own, or topics of two subjects hold `mixed` of all term weight; the best one counts.
+    fragment: the part of all term weight below which a topic that isn't its subject's greatest is left out. density: prior
+    of a document's topics."""
+
+    topics: int = 30
     vocabulary: int = 20_000
     least_documents: int = 4
     iterations: int = 30
     passes: float = 9.0
-    share: float = 0.16
-    splits: int = 3
+    share: float = 0.1625
+    attempts: int = 3
+    mixed: float = 0.02
+    fragment: float = 0.002
+    density: float = 0.05
     seed: int = 11
 
 
 def normalized(text: str) -> str:
-    """Composed, case-folded text without markup and invisible characters."""
-    return unicodedata.normalize("NFKC", _TAG.sub(" ", _HIDDEN.sub("", text)).casefold())
+    """Composed, case-folded text without markup, JSON pairs that aren't text, invisible characters and the names before the lines of a chat."""
+    return unicodedata.normalize("NFKC", _SPEAKER.sub(" ", _PAIR.sub(" ", _TAG.sub(" ", _HIDDEN.sub("", text)))).casefold())
 
 
 def terms(text: str) -> list[str]:
@@ -127,11 +137,6 @@ def terms(text: str) -> list[str]:
     return out
 
 
-def sentences(text: str) -> list[str]:
-    """Parts of normalized text that end with a stop, a line or a table cell, and hold a word."""
-    return [s for s in _END.split(text) if s and _WORD.search(s)]
-
-
 def language_group(text: str) -> str:
     """Group of normalized text by its characters and function words; wrong or missing labels don't matter."""
     if len(_CJK.findall(text)) > 0.15 * len(text):
@@ -144,7 +149,7 @@ def language_group(text: str) -> str:
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
-    """(group, terms, copies) of each distinct text: a text copied often would else draw topics to itself."""
+    """(doc_id, group, terms) of each document with terms; terms joined by blanks, as lists take many times the memory in Python."""
 
     @F.pandas_udf("group string, terms string")
     def prepare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -153,170 +158,197 @@ def _prepared(docs: DataFrame) -> DataFrame:
             for text in texts:
                 clean = normalized(text)
                 groups.append(language_group(clean))
-                joined.append(" ".join(terms(clean)))  # one text a document: lists of terms take many times the memory here
+                joined.append(" ".join(terms(clean)))
             yield pd.DataFrame({"group": groups, "terms": joined})
 
-    known = docs.where("length(text) > 0").select(prepare("text").alias("p")).where("p.terms <> ''")
-    texts = known.select("p.group", "p.terms").groupBy("group", "terms").agg(F.count("*").alias("copies"))
-    # in a fixed order, so that the samples of a fit don't hang on which shuffle block came first
-    return texts.sortWithinPartitions("group", "terms").select("group", F.split("terms", " ").alias("terms"), "copies")
+    return docs.where("length(text) > 0").select("doc_id", prepare("text").alias("p")).where("p.terms <> ''").select("doc_id", "p.group", "p.terms")
 
 
-def group_vocabulary(rows: DataFrame, group: str, settings: Settings) -> list[str]:
-    """Terms of the group's model, anchor terms and the most frequent first. rows: (terms, copies).
+def group_vocabulary(rows: DataFrame, naming: dict[str, list[str]], group: str, settings: Settings) -> list[str]:
+    """Terms of the group's model, those that name subjects and the most frequent first. rows: (terms, copies).
 
     A document's copies count, so that no term is lost because only copies of one text have it.
     """
-    anchors = sorted({w for words in ANCHORS[group].values() for w in map(normalized, words.split())})
+    names = sorted({w for words in naming.values() for w in words})
+    least = min(settings.least_documents, rows.agg(F.sum("copies")).first()[0])
     found = rows.select("copies", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.sum("copies").alias("documents"))
-    kept = found.where(F.col("term").isin(anchors) | (F.col("documents") >= settings.least_documents) & ~F.col("term").isin(STOP_WORDS[group].split()))
-    return [r.term for r in kept.orderBy(F.col("term").isin(anchors).desc(), F.col("documents").desc(), "term").limit(settings.vocabulary).collect()]
+    kept = found.where(F.col("term").isin(names) | (F.col("documents") >= least) & ~F.col("term").isin(STOP_WORDS[group].split()))
+    return [r.term for r in kept.orderBy(F.col("term").isin(names).desc(), F.col("documents").desc(), "term").limit(settings.vocabulary).collect()]
 
 
-def anchor_rows(vocabulary: list[str], group: str) -> dict[int, list[int]]:
-    """Places of the anchor terms of each subject in the vocabulary; subjects without any are left out."""
-    at = {w: i for i, w in enumerate(vocabulary)}
-    found = {s: [at[w] for w in map(normalized, ANCHORS[group][subject].split()) if w in at] for s, subject in enumerate(SUBJECTS)}
-    return {s: rows for s, rows in found.items() if rows}
+def naming_terms(subjects: Sequence[tuple[str, str]], group: str) -> dict[str, list[str]]:
+    """Terms that name each of the subjects (subject, description) in a language: the inspected ones; for a subject that hasn't
+    been inspected those of its description."""
+    known = INSPECTED[group]
+    return {s: terms(normalized(known.get(s) or description or "")) for s, description in subjects}
 
 
-def topic_subjects(weights: np.ndarray, anchors: dict[int, list[int]]) -> tuple[np.ndarray, list[list[int]]]:
-    """Subject number of each topic (-1: none), and the groups of subjects that share a topic.
+def topic_subjects(weights: np.ndarray, names: Sequence[Sequence[int]]) -> tuple[np.ndarray, float]:
+    """Number of each topic's subject (-1: none), and how bad the topics are: the number of subjects that have terms but no topic,
+    plus the part of all weight in topics that a second subject names half as strongly.
 
-    weights: (terms, topics). A topic belongs to the subject whose anchor terms have the greatest mass in it, counted by how
-    much of each anchor term it has. Subjects share a topic if it is the one that has the most of each one's anchor terms.
+    weights: (terms, topics); names: places of the naming terms of each subject. A topic belongs to the subject whose terms
+    have the greatest mass in it, counted by how much of each term is in it.
     """
     within = weights / weights.sum(axis=0, keepdims=True)
     of_term = weights / weights.sum(axis=1, keepdims=True)
-    mass = np.zeros((weights.shape[1], len(SUBJECTS)))
-    homes: dict[int, list[int]] = {}
-    for s, rows in anchors.items():
-        mass[:, s] = (within[rows] * of_term[rows]).sum(axis=0)
-        homes.setdefault(int(of_term[rows].mean(axis=0).argmax()), []).append(s)
-    return np.where(mass.max(axis=1) >= 0.002, mass.argmax(axis=1), -1), [h for h in homes.values() if len(h) > 1]
+    mass = np.stack([(within[list(at)] * of_term[list(at)]).sum(axis=0) if at else np.zeros(weights.shape[1]) for at in names], axis=1)
+    subject_of = np.where(mass.max(axis=1) >= 0.002, mass.argmax(axis=1), -1)
+    first_two = np.sort(np.hstack([mass, np.zeros((len(mass), 1))]), axis=1)[:, -2:]
+    mixed = (subject_of >= 0) & (first_two[:, 0] > 0.5 * first_two[:, 1])
+    homeless = sum(1 for s, at in enumerate(names) if at and s not in subject_of)
+    return subject_of, homeless + float(weights[:, mixed].sum() / weights.sum())
 
 
 @dataclass(frozen=True)
 class TopicModel:
-    """Per term of a language group the share of its weight in the topics of each subject."""
+    """A language group's topics: place of each term, weights (terms, topics; every topic's sum is 1) and each topic's subject."""
+
+    place: dict[str, int]
+    weights: np.ndarray
+    subject_of: np.ndarray
+
 
-    share: dict[str, np.ndarray]
+def kept_topics(weights: np.ndarray, subject_of: np.ndarray, fragment: float) -> np.ndarray:
+    """Numbers of the topics that hold at least `fragment` of all weight, or the most of their subject."""
+    held = weights.sum(axis=0) / weights.sum()
+    greatest = {int(np.where(subject_of == s, held, -1).argmax()) for s in set(subject_of.tolist()) - {-1}}
+    return np.array([t for t in range(len(held)) if held[t] >= fragment or t in greatest], dtype=np.int64)
 
 
-def _topics(rows: DataFrame, vocabulary: CountVectorizerModel, topics: int, settings: Settings, seed: int) -> np.ndarray:
-    """Weights (terms, topics) of a model fitted over rows by online variational Bayes. The steps draw with replacement: exp(-passes) of the rows are never drawn."""
-    vectors = vocabulary.transform(rows).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+def proportions(counts: Sequence[tuple[np.ndarray, np.ndarray]], weights: np.ndarray, density: float, most_steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, topics): mean topic proportions by variational inference under fixed topics, all documents side by side; and the
+    number of different terms that are each topic's by half or more.
+
+    counts: places and counts of each document's terms, none of them empty. Steps end when no document moves by a thousandth.
+    """
+    at, n = np.concatenate([p for p, _ in counts]), np.concatenate([c for _, c in counts]).astype(float)
+    starts = np.concatenate([[0], np.cumsum([len(p) for p, _ in counts])[:-1]])
+    of = np.repeat(np.arange(len(counts)), [len(p) for p, _ in counts])
+    beta = weights[at]
+    mean = np.full((len(counts), weights.shape[1]), 1.0 / weights.shape[1])
+    total = np.add.reduceat(n, starts)[:, None]
+    gamma = density + mean * total
+    for _ in range(most_steps):
+        theta = np.exp(digamma(gamma))
+        ratio = n / ((theta[of] * beta).sum(axis=1) + 1e-100)
+        gamma = density + theta * np.add.reduceat(beta * ratio[:, None], starts, axis=0)
+        before, mean = mean, gamma / gamma.sum(axis=1, keepdims=True)
+        if np.abs(mean - before).max() < 1e-3:
+            break
+    owned = theta[of] * beta
+    owned = owned >= 0.5 * owned.sum(axis=1, keepdims=True) + 1e-100
+    return mean, np.add.reduceat(owned.astype(np.int64), starts, axis=0)
+
+
+def digamma(x: np.ndarray) -> np.ndarray:
+    """Of positive numbers: the recurrence up to six, then the asymptotic series."""
+    shift = np.zeros_like(x)
+    x = x.copy()
+    for _ in range(6):
+        low = x < 6
+        shift[low] -= 1 / x[low]
+        x[low] += 1
+    f = 1 / (x * x)
+    return shift + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f / 252))
+
+
+def _topics(vectors: DataFrame, topics: int, settings: Settings, seed: int) -> np.ndarray:
+    """Weights (terms, topics) by online variational Bayes. The steps draw with replacement: exp(-passes) of the rows are never drawn."""
+    model = LDA(
+        k=topics, maxIter=settings.iterations, optimizer="online", subsamplingRate=min(1.0, settings.passes / settings.iterations), learningOffset=16, learningDecay=0.6, docConcentration=[settings.density] * topics, topicConcentration=0.02, seed=seed,
+    ).fit(vectors)
+    return model.topicsMatrix().toArray()
+
+
+def _fit_group(documents: DataFrame, group: str, subjects: Sequence[tuple[str, str]], settings: Settings) -> TopicModel | None:
+    # each distinct text once: one copied often would else draw topics to itself; in a fixed order, so that the samples of a
+    # fit don't hang on which shuffle block came first
+    own = documents.where(F.col("group") == group).groupBy("terms").agg(F.count("*").alias("copies")).sortWithinPartitions("terms")
+    rows = own.select(F.split("terms", " ").alias("terms"), "copies").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = LDA(
-            k=topics,
-            maxIter=settings.iterations,
-            optimizer="online",
-            subsamplingRate=min(1.0, settings.passes / settings.iterations),
-            learningOffset=16,
-            learningDecay=0.6,
-            docConcentration=[0.05] * topics,
-            topicConcentration=0.02,
-            seed=seed,
-        ).fit(vectors)
-        return model.topicsMatrix().toArray()
+        if rows.isEmpty():
+            return None
+        naming = naming_terms(subjects, group)
+        words = group_vocabulary(rows, naming, group, settings)
+        at = {w: i for i, w in enumerate(words)}
+        names = [[at[w] for w in naming[s] if w in at] for s, _ in subjects]
+        if not any(names):
+            return None
+        vocabulary = CountVectorizerModel.from_vocabulary(words, inputCol="terms", outputCol="features")
+        vectors = vocabulary.transform(rows.select("terms")).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            best = None
+            for attempt in range(settings.attempts):
+                weights = _topics(vectors, settings.topics * (2 + attempt) // 2, settings, settings.seed + attempt)
+                subject_of, fault = topic_subjects(weights, names)
+                if best is None or fault < best[0]:
+                    kept = kept_topics(weights, subject_of, settings.fragment)
+                    own = {w: i for w, i in at.items() if weights[i, kept].sum() >= 0.5 * weights[i].sum()}
+                    best = (fault, TopicModel(own, weights[:, kept] / weights[:, kept].sum(axis=0), subject_of[kept]))
+                if fault < settings.mixed:
+                    break
+            return best[1]
+        finally:
+            vectors.unpersist()
     finally:
-        vectors.unpersist()
-
-
-def _fit_group(rows: DataFrame, group: str, settings: Settings) -> TopicModel:
-    rows = rows.where(F.col("group") == group)
-    if (rows.agg(F.sum("copies")).first()[0] or 0) < settings.least_documents:
-        return TopicModel({})
-    terms_ = group_vocabulary(rows, group, settings)
-    anchors = anchor_rows(terms_, group)
-    if not anchors:
-        return TopicModel({})
-    vocabulary = CountVectorizerModel.from_vocabulary(terms_, inputCol="terms", outputCol="features")
-
-    def shares(weights: np.ndarray, subject_of: np.ndarray) -> np.ndarray:
-        return np.stack([weights[:, subject_of == s].sum(axis=1) for s in range(len(SUBJECTS))], axis=1) / weights.sum(axis=1, keepdims=True)
-
-    weights = _topics(rows, vocabulary, settings.topics, settings, settings.seed)
-    subject_of, shared = topic_subjects(weights, anchors)
-    by_subject = shares(weights, subject_of)
-    # subjects that share a topic are told apart by another model over the documents with their anchor terms
-    for attempt in range(settings.splits):
-        if not shared:
-            break
-        again = []
-        for subjects in shared:
-            own = {s: anchors[s] for s in subjects}
-            words = [terms_[i] for at in own.values() for i in at]
-            part = rows.where(F.arrays_overlap("terms", F.array(*map(F.lit, words))))
-            finer = _topics(part, vocabulary, 4 * len(subjects), settings, settings.seed + attempt + 1)
-            finer_subject, still = topic_subjects(finer, own)
-            fine = shares(finer, finer_subject)[:, subjects]
-            by_subject[:, subjects] = by_subject[:, subjects].sum(axis=1, keepdims=True) * fine / np.maximum(fine.sum(axis=1, keepdims=True), 1e-9)
-            again += still
-        shared = again
-    return TopicModel({w: by_subject[i].astype(np.float32) for i, w in enumerate(terms_) if by_subject[i].max() >= 0.3})
-
-
-def fit_topics(docs: DataFrame, settings: Settings = Settings()) -> dict[str, TopicModel]:
-    """A model for each language group, fitted side by side over the distinct texts of all documents."""
+        rows.unpersist()
+
+
+#: terms of the documents whose proportions are inferred side by side
+BLOCK_TERMS = 50_000
+
+
+def assign_subjects(documents: DataFrame, models: dict[str, TopicModel], names: Sequence[str], settings: Settings = Settings()) -> DataFrame:
+    """(doc_id, subject, share) of each document (doc_id, group, terms) by its topic proportions; none without a term of its model."""
+    known = documents.sparkSession.sparkContext.broadcast(models)  # bounded by the vocabulary
+    kind = documents.schema["doc_id"].dataType.simpleString()
+
+    def infer(ids: list, counts: list, model: TopicModel) -> pd.DataFrame:
+        mean, owned = proportions(counts, model.weights, settings.density)
+        by_subject, support = (np.stack([x[:, model.subject_of == s].sum(axis=1) for s in range(len(names))], axis=1) for x in (mean, owned))
+        doc, subject = np.nonzero((by_subject >= settings.share) & (support >= 2))
+        return pd.DataFrame({"doc_id": [ids[d] for d in doc], "subject": [names[s] for s in subject], "share": by_subject[doc, subject]})
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for group, part in pdf.groupby("group"):
+                model, ids, counts, held = known.value.get(group), [], [], 0
+                if model is None:
+                    continue
+                for doc, text in zip(part["doc_id"], part["terms"], strict=True):
+                    at = [model.place[w] for w in text.split(" ") if w in model.place]
+                    if at:
+                        ids.append(doc)
+                        counts.append(np.unique(at, return_counts=True))
+                        held += len(counts[-1][0])
+                    if held >= BLOCK_TERMS:
+                        yield infer(ids, counts, model)
+                        ids, counts, held = [], [], 0
+                if ids:
+                    yield infer(ids, counts, model)
+
+    return documents.select("doc_id", "group", "terms").mapInPandas(assign, f"doc_id {kind}, subject string, share double")
+
+
+def document_subjects(docs: DataFrame, subjects: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(doc_id, subject, share) of each document with each subject that makes up at least settings.share of it.
+
+    docs: doc_id, text; subjects: subject, description - the closed list of subject areas, which is read into the driver. The models
+    are fitted and applied at once; the result is a table in the shared folder. Null, empty and blank texts, and texts without a
+    term of the models, have no subject; repeated doc_ids are reported each; empty tables give no rows; other columns are ignored.
+    """
     spark = docs.sparkSession
-    path = scratch_path(spark, "terms")
-    _prepared(docs).write.partitionBy("group").parquet(path)
-    rows = spark.read.schema("terms array<string>, copies long, group string").parquet(path)
+    named = [(r.subject, r.description) for r in subjects.where("subject is not null").groupBy("subject").agg(F.min("description").alias("description")).orderBy("subject").collect()]
+    prepared, result = scratch_path(spark, "terms"), scratch_path(spark, "subjects")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    _prepared(docs.select("doc_id", "text")).write.partitionBy("group").parquet(prepared)
+    documents = spark.read.schema(f"doc_id {kind}, terms string, group string").parquet(prepared)
     try:
         with ThreadPoolExecutor(len(LANGUAGES)) as pool:
-            return dict(zip(LANGUAGES, pool.map(lambda g: _fit_group(rows, g, settings), LANGUAGES), strict=True))
+            models = dict(zip(LANGUAGES, pool.map(lambda g: _fit_group(documents, g, named, settings), LANGUAGES), strict=True))
+        found = assign_subjects(documents, {g: m for g, m in models.items() if m is not None}, [n for n, _ in named], settings)
+        found.write.parquet(result)
     finally:
-        discard(spark, path)
-
-
-def sentence_subject(words: list[str], share: dict[str, np.ndarray]) -> int:
-    """Number of the subject whose topics explain the sentence best, -1 for none."""
-    seen = [share[w] for w in set(words) if w in share]
-    if len(seen) < 2:
-        return -1
-    weight = np.stack(seen)
-    strong = (weight >= 0.6).sum(axis=0)
-    score = weight.sum(axis=0)
-    best = int(score.argmax())
-    return best if strong[best] >= 2 and score[best] >= 0.5 * score.sum() else -1
-
-
-def assign_subjects(docs: DataFrame, models: dict[str, TopicModel], settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, subject, share) of each document with each subject of at least settings.share of its sentences.
-
-    Null, empty and blank texts have no subject; repeated doc_ids are reported each. Whole texts are read, whatever their
-    length. Other columns are ignored.
-    """
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast({g: m.share for g, m in models.items()})
-    least = settings.share
-
-    @F.pandas_udf("array<struct<subject:string,share:double>>")
-    def assign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            out = []
-            for text in texts:
-                found: list[tuple[str, float]] = []
-                clean = normalized(text) if text else ""
-                parts = sentences(clean)
-                if parts:
-                    share = known.value[language_group(clean)]
-                    counts = np.zeros(len(SUBJECTS))
-                    for part in parts:
-                        s = sentence_subject(terms(part), share)
-                        if s >= 0:
-                            counts[s] += 1
-                    counts /= len(parts)
-                    found = [(SUBJECTS[s], float(counts[s])) for s in np.flatnonzero(counts >= least)]
-                out.append(found)
-            yield pd.Series(out, dtype=object)
-
-    return docs.select("doc_id", F.explode(assign("text")).alias("a")).select("doc_id", "a.subject", "a.share")
-
-
-def document_subjects(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, subject, share) of every document: fits the topics over docs (doc_id, text) and assigns them. An empty table
-    gives no rows."""
-    narrow = docs.select("doc_id", "text")
-    return assign_subjects(narrow, fit_topics(narrow, settings), settings)
+        discard(spark, prepared)
+    return spark.read.schema(found.schema).parquet(result)
