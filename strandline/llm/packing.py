@@ -5,7 +5,8 @@ Over it the configuration linear program - how often to use each way to fill a s
 weights: every length has a price, a knapsack by dynamic programming finds the filling of the highest price, that filling is
 used a little, and the prices of the lengths it served fall in proportion to the share of their demand. The fractional
 solution is rounded down, the rest is packed best-fit decreasing, and the documents, numbered within their length in
-parallel, take the places. The plan is as small as the histogram, whatever the number of documents.
+parallel, take the places. The plan is as small as the histogram, whatever the number of documents; `least_sequences` says how
+far it can be from the best.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from strandline.session import settled
 
-BUCKETS = 64
+#: pieces of one length that are numbered in one task
+BUCKET_PIECES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -138,34 +140,60 @@ def plan_sequences(histogram: dict[int, int], capacity: int) -> Plan:
     return Plan(*columns, sequences=sequence)
 
 
-def pack(items: DataFrame, capacity: int) -> DataFrame:
+def least_sequences(histogram: dict[int, int], capacity: int) -> int:
+    """A number of sequences that no packing can go below: over all thresholds, the lengths that leave less than the threshold
+    take a sequence each, and those from the threshold on their share of the room that is left beside half-full ones."""
+    lengths = np.array(sorted(histogram), dtype=np.int64)
+    if not len(lengths):
+        return 0
+    demand = np.array([histogram[n] for n in lengths], dtype=np.int64)
+    best = 0
+    for least in {0, *(int(n) for n in lengths if 2 * n <= capacity)}:
+        alone, large, small = lengths > capacity - least, (lengths <= capacity - least) & (2 * lengths > capacity), (2 * lengths <= capacity) & (lengths >= least)
+        room = int(demand[large].sum()) * capacity - int((demand * lengths)[large].sum())
+        more = max(0, -(-(int((demand * lengths)[small].sum()) - room) // capacity))
+        best = max(best, int(demand[alone | large].sum()) + more)
+    return best
+
+
+def sizes(items: DataFrame) -> DataFrame:
+    """(doc_id, size) of items (doc_id, n_tokens), null and negative numbers as 0, kept in the shared folder: counting may be dear."""
+    return settled(items.select("doc_id", F.greatest(F.lit(0), F.coalesce(F.col("n_tokens"), F.lit(0))).cast("int").alias("size")))
+
+
+def pieces_of(sized: DataFrame, capacity: int) -> DataFrame:
+    """(doc_id, piece, length) of sizes: pieces of the capacity and a rest where a document is longer, else one."""
+    last = F.greatest(F.lit(0), F.ceil(F.col("size") / capacity).cast("int") - 1)
+    pieces = sized.select("doc_id", "size", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    return pieces.select("doc_id", "piece", F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity).alias("length"))
+
+
+def histogram_of(pieces: DataFrame) -> dict[int, int]:
+    """Number of pieces of each length: at most capacity + 1 entries."""
+    return {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+
+
+def pack(items: DataFrame, capacity: int, bucket_pieces: int = BUCKET_PIECES) -> DataFrame:
     """(doc_id, piece, sequence_id, position, n_tokens) of every piece of every document.
 
     items: doc_id, n_tokens. A document longer than the capacity is cut into pieces of the capacity and a rest; no other
     document is. Pieces of one sequence don't overlap and stay within the capacity. An empty document (0 or null tokens) takes
     no place: one row with n_tokens 0 and null sequence and position. Repeated doc_ids are packed each. Other columns are ignored.
+
+    Pieces are numbered within (length, bucket), with as many buckets as keep one at about bucket_pieces, so that no length is
+    gathered in one task; where a bucket's numbers start comes from a running sum over the counts, not from the driver.
     """
     spark = items.sparkSession
-    sized = items.select("doc_id", F.greatest(F.lit(0), F.coalesce(F.col("n_tokens"), F.lit(0))).cast("int").alias("size"))
-    sized = settled(sized)  # two passes follow, and the sizes may be dear to count
-    last = F.greatest(F.lit(0), F.ceil(F.col("size") / capacity).cast("int") - 1)
-    pieces = sized.select("doc_id", "size", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
-    pieces = pieces.select("doc_id", "piece", F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity).alias("length"))
-    # numbered within (length, bucket), so that no length is gathered in one task
-    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS)).cast("int"))
-    by_bucket = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n")).collect()  # at most (capacity + 1) * BUCKETS rows
-
-    histogram: dict[int, int] = {}
-    offsets = []
-    for length, bucket, n in sorted(map(tuple, by_bucket)):
-        offsets.append((length, bucket, histogram.get(length, 0)))
-        histogram[length] = histogram.get(length, 0) + n
+    pieces = pieces_of(sizes(items), capacity)
+    histogram = histogram_of(pieces)
+    buckets = -(-max(histogram.values(), default=1) // bucket_pieces)
     histogram.pop(0, None)
     plan = spark.sparkContext.broadcast(plan_sequences(histogram, capacity))
-    starts = np.zeros((capacity + 1, BUCKETS), dtype=np.int64)
-    for length, bucket, start in offsets:
-        starts[length, bucket] = start
-    starts_of = spark.sparkContext.broadcast(starts)
+    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
+    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n")).select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    number = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece"))
+    numbered = pieces.withColumn("n", number).join(starts, ["length", "bucket"]).select("doc_id", "piece", "length", (F.col("start") + F.col("n") - 1).alias("copy"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = plan.value
@@ -173,8 +201,7 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
         # runs are sorted by (length, first): one search over a combined key finds the run of every row
         keys = p.length.astype(object) * stride + p.first if stride > (1 << 50) else p.length * stride + p.first
         for pdf in batches:
-            length = pdf["length"].to_numpy(np.int64)
-            copy = starts_of.value[length, pdf["bucket"].to_numpy(np.int64)] + pdf["n"].to_numpy(np.int64) - 1
+            length, copy = pdf["length"].to_numpy(np.int64), pdf["copy"].to_numpy(np.int64)
             placed = length > 0
             sequence, position = np.full(len(pdf), -1, dtype=np.int64), np.full(len(pdf), -1, dtype=np.int64)
             if placed.any():
@@ -187,7 +214,13 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
                 {"doc_id": pdf["doc_id"], "piece": pdf["piece"], "sequence_id": pd.Series(sequence, dtype="Int64").mask(~placed), "position": pd.Series(position, dtype="Int64").mask(~placed).astype("Int32"), "n_tokens": pdf["length"]}
             )
 
-    w = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
-    numbered = pieces.withColumn("n", F.row_number().over(w))
     id_type = items.schema["doc_id"].dataType.simpleString()
     return numbered.mapInPandas(place, f"doc_id {id_type}, piece int, sequence_id bigint, position int, n_tokens int")
+
+
+def quality(items: DataFrame, capacity: int) -> DataFrame:
+    """One row: tokens, sequences of the plan, and the number no packing can go below."""
+    histogram = histogram_of(pieces_of(sizes(items), capacity))
+    histogram.pop(0, None)
+    row = (sum(n * length for length, n in histogram.items()), plan_sequences(histogram, capacity).sequences, least_sequences(histogram, capacity))
+    return items.sparkSession.createDataFrame([row], "n_tokens long, sequences long, least_sequences long")

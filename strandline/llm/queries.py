@@ -54,9 +54,16 @@ def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "documents").select("doc_id", byte_bpe.token_ids(F.col("text")).alias("ids"))
 
 
+def _sized(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "documents").select("doc_id", byte_bpe.token_count(F.col("text")).alias("n_tokens"))
+
+
 def p9_packing(spark: SparkSession, root: str) -> DataFrame:
-    sized = table(spark, root, "documents").select("doc_id", byte_bpe.token_count(F.col("text")).alias("n_tokens"))
-    return packing.pack(sized, SEQUENCE_TOKENS)
+    return packing.pack(_sized(spark, root), SEQUENCE_TOKENS)
+
+
+def p9_quality(spark: SparkSession, root: str) -> DataFrame:
+    return packing.quality(_sized(spark, root), SEQUENCE_TOKENS)
 
 
 def _subjects(spark: SparkSession, root: str) -> DataFrame:
@@ -72,7 +79,7 @@ def p10_composition(spark: SparkSession, root: str) -> DataFrame:
     return _subjects(spark, root).groupBy("subject").agg(F.count("*").alias("documents"), F.round(F.avg("share"), 3).alias("mean_share"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p6_found, p6_records, p8_ids, p9_packing, p10_found, p10_composition)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p6_found, p6_records, p8_ids, p9_packing, p9_quality, p10_found, p10_composition)}
 
 _RANKED = """SELECT *, TRY_CAST(source_version AS TIMESTAMPTZ) AS ver, payload.severity AS severity, payload.severity_scale AS severity_scale, payload.depth_km AS depth_km, payload.place AS place, payload.source_url AS source_url, payload.status AS status,
 (payload.severity IS NOT NULL)::INT + (payload.severity_scale IS NOT NULL)::INT + (payload.depth_km IS NOT NULL)::INT + (payload.place IS NOT NULL)::INT + (payload.source_url IS NOT NULL)::INT AS filled

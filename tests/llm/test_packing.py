@@ -43,7 +43,10 @@ def test_whole_and_tight(spark, seed):
     rng = random.Random(seed)
     items = [(i, rng.choice([0, None, 17, 17, 17, rng.randrange(1, 64), rng.randrange(1, 300)])) for i in range(1500)] + [(3, 17), (3, 17)]
     df = spark.createDataFrame(items, "doc_id long, n_tokens int").withColumn("piece", F.lit("clash")).withColumn("bucket", F.lit("clash"))
-    n = check(packing.pack(df, 64).collect(), items, 64)
+    n = check(packing.pack(df, 64, bucket_pieces=40).collect(), items, 64)
+    assert check(packing.pack(df, 64).collect(), items, 64) == n
+    q = packing.quality(df, 64).first()
+    assert q.least_sequences <= n == q.sequences and q.n_tokens == sum(max(0, k or 0) for _, k in items)
     # three of 17 leave a gap that little fills, so the sum of lengths is no bound here; rounding a program this small
     # may cost a sequence or two against first fit decreasing
     assert n <= first_fit(items, 64) + 2
@@ -57,6 +60,18 @@ def test_edges(spark):
     assert check(packing.pack(spark.createDataFrame(items, schema), 8).collect(), items, 8) == 5
 
 
+def test_least_sequences():
+    assert packing.least_sequences({}, 8) == 0
+    assert packing.least_sequences({8: 3, 1: 1}, 8) == 4
+    # five of 6 take a sequence each, and only the 2s fit beside them
+    assert packing.least_sequences({6: 5, 3: 4, 2: 5}, 8) == 7
+    rng = random.Random(3)
+    for _ in range(20):
+        items = [(i, rng.randrange(1, 65)) for i in range(60)]
+        histogram = Counter(n for _, n in items)
+        assert -(-sum(n for _, n in items) // 64) <= packing.least_sequences(histogram, 64) <= first_fit(items, 64)
+
+
 def test_knapsack_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(30):
