@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators import asof, changefeed, feed, history, late_events, proximity, references
+from strandline.operators.sliced import DAY_US
+from strandline.session import scratch_path
 from strandline.sources.tables import table
 
 KEYS = {"suppliers_cdc": "supplier_id", "facilities_cdc": "facility_id", "purchase_orders_cdc": "purchase_order_id", "shipments_cdc": "shipment_id"}
@@ -41,11 +43,26 @@ def p1_report(spark: SparkSession, root: str) -> DataFrame:
     return references.orphan_report(_orphans(spark, root))
 
 
+#: Messages are taken into the ledger by four weeks of ingestion.
+BATCH_US = 28 * DAY_US
+
+
+def _ledger(spark: SparkSession, root: str) -> late_events.EventLedger:
+    messages = table(spark, root, "events_normalized").select("event_id", "event_type", "event_time", "ingested_at", F.struct("payload.severity").alias("payload"))
+    return late_events.replayed(late_events.EventLedger(spark, scratch_path(spark, "events")), messages, BATCH_US)
+
+
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
-    return late_events.late_messages(table(spark, root, "events_normalized"))
+    return _ledger(spark, root).late()
 
 
 def p2_daily(spark: SparkSession, root: str) -> DataFrame:
+    """The figures of every day after all batches."""
+    return _ledger(spark, root).figures().select("period", "event_type", "n_messages", "n_severity", "sum_severity", "max_severity")
+
+
+def p2_revisions(spark: SparkSession, root: str) -> DataFrame:
+    """The figures of every day after each daily batch that touched it."""
     return late_events.daily_revisions(table(spark, root, "events_normalized"))
 
 
@@ -86,7 +103,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return known.select(F.col("id").alias("event_id"), F.col("entity").alias("asset_id"), "seq")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_daily, p3_found, p4_found, p4_ledger, p5_found, p7_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_daily, p2_revisions, p3_found, p4_found, p4_ledger, p5_found, p7_found)}
 
 
 _CHANGES = {
@@ -128,7 +145,9 @@ ORACLES: dict[str, str] = {
     "p1_found": f"SELECT table_name, field, seq, kind FROM ({_orphan_sql()})",
     "p1_report": f"SELECT table_name, field, kind, captured // 86400000000 * 86400000000 AS period_start_us, count(*) AS orphans FROM ({_orphan_sql()}) GROUP BY ALL",
     "p2_found": f"SELECT DISTINCT event_id, CASE WHEN behind <= 172800000000 THEN 'late' ELSE 'too_late' END AS verdict FROM ({_ROUTED}) WHERE behind > 300000000",
-    "p2_daily": f"""WITH m AS (SELECT period, event_type, event_id, min(greatest(epoch_us(ingested_at) // 86400000000, period)) AS b, any_value(payload.severity) AS s FROM ({_ROUTED}) WHERE behind <= 172800000000 GROUP BY ALL),
+    "p2_daily": f"""SELECT period, event_type, count(*) AS n_messages, count(s) AS n_severity, round(sum(s), 6) AS sum_severity, max(s) AS max_severity FROM (
+SELECT period, event_type, event_id, max(payload.severity) FILTER (NOT isnan(payload.severity)) AS s FROM ({_ROUTED}) WHERE behind <= 172800000000 GROUP BY ALL) GROUP BY ALL""",
+    "p2_revisions": f"""WITH m AS (SELECT period, event_type, event_id, min(greatest(epoch_us(ingested_at) // 86400000000, period)) AS b, any_value(payload.severity) AS s FROM ({_ROUTED}) WHERE behind <= 172800000000 GROUP BY ALL),
 t AS (SELECT DISTINCT period, b AS batch FROM m)
 SELECT m.period, event_type, batch, count(*) AS n_messages, count(s) AS n_severity, round(sum(s), 6) AS sum_severity, max(s) AS max_severity FROM m JOIN t ON m.period = t.period AND batch >= b GROUP BY ALL""",
     "p3_found": f"""WITH f AS (SELECT k AS facility_id, latitude AS la, longitude AS lo FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY eff DESC, seq) AS n FROM ({_CHANGES['facilities_cdc'].format(cols='latitude, longitude,')}) WHERE eff IS NOT NULL) WHERE n = 1 AND live AND abs(latitude) <= 90 AND abs(longitude) <= 180),
