@@ -13,6 +13,7 @@ class Settings:
     ingest_skew_s: int = 300
     normalize_skew_s: int = 3600
     dedup_ttl_s: int = 30 * 86400
+    marker_ttl_s: int = 30 * 86400
     poll_interval_s: int = 60
     out_of_orderness_s: int = 300
     idleness_s: int = 60

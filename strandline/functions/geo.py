@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: fixed values: mean earth radius, and the least severity and radius in km of the earthquake rule
+#: fixed values: mean earth radius, the least severity and radius in km of the earthquake rule, and the radius of the wildfire rule
 EARTH_RADIUS_KM = 6371.0088
 QUAKE_RADII = ((7.0, 250.0), (6.0, 120.0), (5.0, 50.0))
+WILDFIRE_KM = 40.0
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -27,6 +28,11 @@ def impact_radius_km(event_type: Column, severity: Column) -> Column:
     return rule
 
 
+def wildfire_radius_km(event_type: Column, confidence: Column) -> Column:
+    """Radius of the area a wildfire of high confidence affects; null for others."""
+    return F.when((event_type == "wildfire") & (F.lower(confidence) == "high"), F.lit(WILDFIRE_KM))
+
+
 def geo_score(distance_km: Column, radius_km: Column) -> Column:
     """1 at the centre, 0 at the radius and beyond; 0 for a radius that isn't positive."""
     return F.when(radius_km <= 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - distance_km / radius_km)))
@@ -37,11 +43,12 @@ def valid_position(lat: Column, lon: Column) -> Column:
     return F.coalesce((lat >= -90) & (lat <= 90) & (lon >= -180) & (lon <= 180), F.lit(False))
 
 
-def cell_width(strip: Column, strip_deg: float) -> Column:
+def cell_width(strip: Column, strip_deg: Column | float) -> Column:
     """Width in degrees of the longitude cells of a latitude strip: strip_deg at the equator, wider towards the poles, 360 where the
     strip reaches one."""
-    far = F.least(F.lit(90.0), F.greatest(F.abs(strip * strip_deg), F.abs((strip + 1) * strip_deg)))
-    return F.least(F.lit(360.0), F.lit(strip_deg) / F.greatest(F.cos(F.radians(far)), F.lit(1e-9)))
+    high = strip_deg if isinstance(strip_deg, Column) else F.lit(strip_deg)
+    far = F.least(F.lit(90.0), F.greatest(F.abs(strip * high), F.abs((strip + 1) * high)))
+    return F.least(F.lit(360.0), high / F.greatest(F.cos(F.radians(far)), F.lit(1e-9)))
 
 
 def cell_of(longitude: Column, width: Column) -> Column:

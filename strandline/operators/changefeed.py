@@ -1,8 +1,10 @@
 """Current state of a table from a feed of inserts, updates and deletes, resolved newest first.
 
-Method: the feed's changes fall into batches by effect. The newest batch is resolved first; each older batch only contributes
-keys that no newer batch has resolved (anti-join), as first-seen images or tombstones; what the oldest batch, the base, holds
-of untouched keys is appended at last. Deleted keys are resolved by their tombstones and never come back from older batches.
+Method: the feed's changes fall into batches by effect, of each of which one pass over the feed keeps every key's last change. The
+newest batch is resolved first; each older batch only contributes keys that no newer batch has resolved (anti-join), as
+first-seen images or tombstones; what the oldest batch, the base, holds of untouched keys is appended at last. Deleted keys are
+resolved by their tombstones and never come back from older batches. What is resolved is written step by step, so that a lost
+executor costs one step.
 """
 
 from __future__ import annotations
@@ -13,42 +15,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.feed import changes
-from strandline.session import settled
+from strandline.operators.sliced import DAY_US, slice_of
+from strandline.session import discard, scratch_path, subfolders
 
 
-def newest_first(feed: DataFrame, key: str, cuts_us: Sequence[int], values: Sequence[str] = (), settle_after: int = 4) -> DataFrame:
+def newest_first(feed: DataFrame, key: str, values: Sequence[str] = (), batch_us: int = 45 * DAY_US, steps: int = 3) -> DataFrame:
     """(key, eff, seq, live, *values) of the latest change of every key; live False: a tombstone.
 
-    cuts_us: ascending instants (epoch microseconds) that part the batches; changes before the first are the base. The result
-    doesn't depend on them. Of messages with one instant the smallest seq represents the change. Order of arrival plays no
-    part; messages without op, key or readable instant change nothing. Each batch is aggregated with map-side combining, so a
-    hot key costs one row per task. After settle_after batches the plan is cut by a checkpoint.
+    The newest `steps` periods of effect, batch_us long each, that hold changes are batches of their own; all before is the base.
+    The result doesn't depend on either. Of messages with one instant the smallest seq represents the change. Order of arrival
+    plays no part; messages without op, key or readable instant change nothing; an empty feed gives no rows. The pass over the
+    feed combines on the map side, so a hot key costs one row per task and period.
     """
-    rows = changes(feed, key, values)
-    edges = [None, *sorted(cuts_us), None]
+    spark = feed.sparkSession
     columns = ["eff", "seq", "live", *values]
-    resolved: list[DataFrame] = []
-    touched: list[DataFrame] = []
-    for n, (low, high) in enumerate(reversed(list(zip(edges, edges[1:], strict=False)))):
-        batch = rows
-        if low is not None:
-            batch = batch.where(F.col("eff") >= low)
-        if high is not None:
-            batch = batch.where(F.col("eff") < high)
-        latest = batch.groupBy("key").agg(F.max_by(F.struct(*columns), F.struct(F.col("eff"), (-F.col("seq")).alias("s"))).alias("img")).select("key", *[f"img.{c}" for c in columns])
-        seen = latest
-        for newer in touched:
-            seen = seen.join(newer, "key", "left_anti")
-        if n and n % settle_after == 0:
-            seen = settled(seen)
-        resolved.append(seen)
-        touched.append(latest.select("key") if not n or n % settle_after else seen.select("key"))
-    out = resolved[0]
-    for more in resolved[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def current_rows(feed: DataFrame, key: str, cuts_us: Sequence[int], values: Sequence[str] = ()) -> DataFrame:
+    latest = F.max_by(F.struct(*columns), F.struct(F.col("eff"), (-F.col("seq")).alias("s"))).alias("img")
+    rows = changes(feed, key, values)
+    schema = rows.select("key", *columns).schema
+    by_batch, resolved = scratch_path(spark, "changes"), scratch_path(spark, "resolved")
+    rows.groupBy("key", slice_of("eff", batch_us).alias("batch")).agg(latest).select("key", "img.*", "batch").write.partitionBy("batch").parquet(by_batch)
+    batches = subfolders(spark, by_batch, "batch")[::-1]
+    read = lambda part: spark.read.schema(schema).parquet(*[f"{by_batch}/batch={b}" for b in part])
+    for step, part in enumerate([*([b] for b in batches[:steps]), *([batches[steps:]] if batches[steps:] else [])]):
+        seen = read(part)
+        if step:
+            seen = seen.join(spark.read.schema(schema).parquet(resolved).select("key"), "key", "left_anti")
+        if len(part) > 1:
+            seen = seen.groupBy("key").agg(latest).select("key", "img.*")
+        seen.write.parquet(f"{resolved}/step={step}")
+    discard(spark, by_batch)
+    return spark.read.schema(schema).parquet(resolved) if batches else spark.createDataFrame([], schema)
+
+
+def current_rows(feed: DataFrame, key: str, values: Sequence[str] = (), batch_us: int = 45 * DAY_US, steps: int = 3) -> DataFrame:
     """The live rows of newest_first."""
-    return newest_first(feed, key, cuts_us, values).where("live").drop("live")
+    return newest_first(feed, key, values, batch_us, steps).where("live").drop("live")

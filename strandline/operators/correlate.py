@@ -1,12 +1,14 @@
 """Impact candidates: events with the facilities within their radius.
 
-Events meet the facilities of nearby cells only, in an equi-join: a cell is a latitude band, a little wider than the largest
-radius, cut at longitudes as far apart. Neither side is broadcast by force nor compared with all of the other.
+Events meet the facilities of nearby cells only, in an equi-join: a cell is a latitude band, a little wider than the radius, cut at
+longitudes as far apart, and each class of radii has cells of its own size. Cells full of facilities are split. Neither side is
+broadcast by force nor compared with all of the other.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.geo import EARTH_RADIUS_KM, QUAKE_RADII, cell_of, cell_width, cells_between, geo_score, haversine_km, impact_radius_km, valid_position
 from strandline.functions.text import impact_id
-from strandline.operators.sliced import Carry, slice_of, with_carried
+from strandline.operators.sliced import Carry, slice_width, sliced, with_carried
 
 #: arrivals of one slice of a facility's updates
 SLICE_SEQS = 1_000_000
@@ -28,28 +30,45 @@ def with_radius(events: DataFrame) -> DataFrame:
     return events.withColumn("radius_km", radius).where("radius_km is not null")
 
 
-def cell_join(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], reach_km: float, within: Column, extra: Column | None = None) -> DataFrame:
-    """left x right rows with `distance_km` at most `within`, which must never exceed reach_km. Rows without a position on the
-    globe meet nothing.
+#: Right rows per cell beyond which the cell is split.
+CELL_ROWS = 20_000
 
-    A left row is copied to its band and the two beside it, and there to the cells that points within reach can lie in: two or
-    three, more only around the poles. A right row is in one cell.
+
+def cell_join(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], reaches_km: Sequence[float], within: Column, extra: Column | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """left x right rows with `distance_km` at most `within`, which must never exceed the greatest of reaches_km. Rows without a
+    position on the globe, and left rows without a `within`, meet nothing.
+
+    reaches_km are the classes: a left row is in the class of the least reach that is not below its `within`, and is copied to its
+    band there and the two beside it, and in each to the cells that points within reach can lie in: two or three, more only
+    around the poles. A right row is in one cell of each class. Cells with more than cell_rows right rows are split by those, and
+    left rows are copied to the parts; left rows of one cell that are too many for a task are the planner's to split (skew join).
     """
-    width = reach_km / KM_PER_DEGREE * 1.01
-    band = lambda latitude: F.floor(latitude / width).cast("int")
+    reaches = sorted({float(r) for r in reaches_km})
     lat, lon = F.col(left_at[0]), F.col(left_at[1])
-    near = left.where(valid_position(lat, lon)).withColumn("_band", F.explode(F.array(*[band(lat) + d for d in (-1, 0, 1)])))
+    widths = F.array(*[F.lit(r / KM_PER_DEGREE * 1.01) for r in reaches])
+    sines = F.array(*[F.lit(math.sin(min(math.pi / 2, r / EARTH_RADIUS_KM / 2))) for r in reaches])
+    width, reach = widths[F.col("_class")], sines[F.col("_class")]
+    band = lambda latitude: F.floor(latitude / width).cast("int")
+    chosen = F.coalesce(*[F.when(within <= r, n) for n, r in enumerate(reaches)])
+    near = left.where(valid_position(lat, lon)).withColumn("_class", chosen).where("_class is not null")
+    near = near.withColumn("_band", F.explode(F.array(*[band(lat) + d for d in (-1, 0, 1)])))
     # two points of these bands within reach differ by no more than this in longitude
     far = F.least(F.lit(90.0), F.greatest(F.abs(F.col("_band") * width), F.abs((F.col("_band") + 1) * width)) + width)
-    half = F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(math.pi / 2, reach_km / EARTH_RADIUS_KM / 2))) / F.greatest(F.cos(F.radians(far)), F.lit(1e-9))))
+    half = F.asin(F.least(F.lit(1.0), reach / F.greatest(F.cos(F.radians(far)), F.lit(1e-9))))
     spread = F.degrees(half * 2) * 1.000001
     near = near.withColumn("_cell", F.explode(cells_between(lon - spread, lon + spread, cell_width(F.col("_band"), width))))
-    there = right.where(valid_position(F.col(right_at[0]), F.col(right_at[1]))).withColumn("_rband", band(F.col(right_at[0])))
-    there = there.withColumn("_rcell", cell_of(F.col(right_at[1]), cell_width(F.col("_rband"), width)))
-    on = (F.col("_band") == F.col("_rband")) & (F.col("_cell") == F.col("_rcell"))
-    met = near.join(there, on if extra is None else on & extra)
+
+    there = right.where(valid_position(F.col(right_at[0]), F.col(right_at[1]))).withColumn("_class", F.explode(F.array(*[F.lit(n) for n in range(len(reaches))])))
+    there = there.withColumn("_band", band(F.col(right_at[0]))).withColumn("_cell", cell_of(F.col(right_at[1]), cell_width(F.col("_band"), width)))
+    place = ["_class", "_band", "_cell"]
+    # at most right rows / cell_rows of them; left to the planner to broadcast if they are few
+    full = there.groupBy(*place).agg(F.count("*").alias("_n")).where(F.col("_n") > cell_rows).select(*place, F.ceil(F.col("_n") / cell_rows).cast("int").alias("_parts"))
+    there = there.join(full, place, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*right.columns), F.coalesce("_parts", F.lit(1))).cast("int"))).drop("_parts")
+    near = near.join(full, place, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    met = near.join(there, [*place, "_part"])
+    met = met if extra is None else met.where(extra)
     distance = haversine_km(lat, lon, F.col(right_at[0]), F.col(right_at[1]))
-    return met.withColumn("distance_km", distance).where(F.col("distance_km") <= within).drop("_band", "_rband", "_cell", "_rcell")
+    return met.withColumn("distance_km", distance).where(F.col("distance_km") <= within).drop(*place, "_part")
 
 
 def _sides(events: DataFrame, facilities: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
@@ -67,22 +86,22 @@ def _candidates(met: DataFrame, now: datetime) -> DataFrame:
 
 
 AT = (("event_latitude", "event_longitude"), ("asset_latitude", "asset_longitude"))
-MOST_KM = max(r for _, r in QUAKE_RADII)
+REACHES_KM = tuple(r for _, r in QUAKE_RADII)
 
 
 def correlate(events: DataFrame, facilities: DataFrame, now: datetime) -> DataFrame:
     """Candidates of each event with each facility at most the event's radius away. Facilities of any status count; rows
     without a position, and events without a radius, give nothing; repeated events give repeated candidates."""
     left, right = _sides(events, facilities)
-    return _candidates(cell_join(left, right, *AT, MOST_KM, F.col("radius_km")), now)
+    return _candidates(cell_join(left, right, *AT, REACHES_KM, F.col("radius_km")), now)
 
 
 def facility_periods(updates: DataFrame) -> DataFrame:
     """facility rows with [from_seq, to_seq): from each update to the next one of the facility; deletes end a period and start
     none. updates: facility_id, supplier_id, latitude, longitude, deleted, seq. A facility with many updates is cut into slices."""
-    known = updates.where("facility_id is not null").withColumn("_part", slice_of("seq", SLICE_SEQS))
-    known = with_carried(known, ["facility_id"], "_part", [Carry("_next", F.min("seq"), "last", back=True)])
-    w = Window.partitionBy("facility_id", "_part").orderBy("seq")
+    known, part = sliced(updates.where("facility_id is not null"), "seq", SLICE_SEQS if slice_width(updates) else 0, "_part")
+    known = with_carried(known, ["facility_id"], part, [Carry("_next", F.min("seq"), "last", back=True)])
+    w = Window.partitionBy("facility_id", *part).orderBy("seq")
     ended = known.withColumn("to_seq", F.coalesce(F.lead("seq").over(w), "_next")).withColumnRenamed("seq", "from_seq")
     return ended.where("not deleted").drop("deleted", "_part", "_next")
 
@@ -92,11 +111,11 @@ def correlate_asof(events: DataFrame, updates: DataFrame, now: datetime) -> Data
     events: with seq on the same scale of arrival as updates."""
     left, right = _sides(events, facility_periods(updates), "from_seq", "to_seq")
     known = (F.col("seq") >= F.col("from_seq")) & (F.col("to_seq").isNull() | (F.col("seq") < F.col("to_seq")))
-    return _candidates(cell_join(left, right, *AT, MOST_KM, F.col("radius_km"), known), now)
+    return _candidates(cell_join(left, right, *AT, REACHES_KM, F.col("radius_km"), known), now)
 
 
 def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:
     """(event_id, facility_id, distance_km) within one radius, in either direction of looking."""
     left = events.select("event_id", F.col("payload.latitude").alias("event_latitude"), F.col("payload.longitude").alias("event_longitude"))
     right = facilities.select("facility_id", F.col("latitude").alias("asset_latitude"), F.col("longitude").alias("asset_longitude"))
-    return cell_join(left, right, *AT, radius_km, F.lit(radius_km)).select("event_id", "facility_id", "distance_km")
+    return cell_join(left, right, *AT, (radius_km,), F.lit(radius_km)).select("event_id", "facility_id", "distance_km")

@@ -8,7 +8,8 @@ Method: a sweep over the changes of an entity from the latest effect to the earl
 next later effect that had arrived before it; and it cuts off, when it arrives, the next earlier effect that had arrived
 before it. Changes that no change of later effect preceded in arrival ("in order") do so with their direct neighbours, found
 by windows; runs of late changes between two of them are swept in Python with a stack as deep as late changes are nested.
-All windows work on slices of an entity (see sliced), so one entity may hold any share of the rows.
+All windows work on slices of an entity (see sliced), so one entity may hold any share of the rows. Rows that several branches
+need are stored in the shared folder.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators.feed import distinct_changes
-from strandline.operators.sliced import DAY_US, Carry, slice_of, with_carried
+from strandline.operators.sliced import Carry, slice_width, sliced, with_carried
+from strandline.session import stored
 
 OPEN = -1
 LEDGER = "table_name string, key string, value string, live boolean, valid_from long, valid_to long, recorded_from long"
@@ -75,17 +77,19 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["table_name", "key", "value", "live", "valid_from", "valid_to", "recorded_from"])
 
 
-def bitemporal_ledger(changes: DataFrame, slice_us: int = 8 * DAY_US) -> DataFrame:
+def bitemporal_ledger(changes: DataFrame, slice_us: int | None = None) -> DataFrame:
     """(table_name, key, value, live, valid_from, valid_to, recorded_from, recorded_to) from attribute_changes rows.
 
     One row per belief: from valid_from to valid_to (-1: open) the key had the value (live False: was deleted), believed from
     arrival recorded_from until recorded_to (-1: still). Valid times are epoch microseconds, recorded times are seqs.
-    Whatever the order of arrival, the rows with recorded_to -1 are the intervals between successive effects.
+    Whatever the order of arrival, the rows with recorded_to -1 are the intervals between successive effects. slice_us: width of
+    the slices, 0 for one; by default as the size of changes asks for.
     """
     keys = ["table_name", "key"]
-    rows = changes.withColumn("part", slice_of("eff", slice_us))
-    rows = with_carried(rows, keys, "part", [Carry("least_after", F.min("seq"), "min", back=True)])
-    within = Window.partitionBy(*keys, "part").orderBy("eff")
+    slice_us = slice_width(changes) if slice_us is None else slice_us
+    rows, part = sliced(stored(changes, "changes") if slice_us else changes, "eff", slice_us)
+    rows = with_carried(rows, keys, part, [Carry("least_after", F.min("seq"), "min", back=True)])
+    within = Window.partitionBy(*keys, *part).orderBy("eff")
     after = F.least("least_after", F.min("seq").over(within.rowsBetween(1, Window.unboundedFollowing)))
     rows = rows.withColumn("late", F.coalesce(F.col("seq") > after, F.lit(False))).drop("least_after")
 
@@ -94,7 +98,7 @@ def bitemporal_ledger(changes: DataFrame, slice_us: int = 8 * DAY_US) -> DataFra
     rows = with_carried(
         rows,
         keys,
-        "part",
+        part,
         [
             Carry("prev_far", F.max_by(in_order, F.when(~F.col("late"), F.col("eff")))),
             Carry("next_far", F.min(F.when(~F.col("late"), F.col("eff"))), "last", back=True),
@@ -113,6 +117,7 @@ def bitemporal_ledger(changes: DataFrame, slice_us: int = 8 * DAY_US) -> DataFra
         F.coalesce(F.first(F.when(~F.col("late"), F.col("eff")), ignorenulls=True).over(later), "next_far").alias("anchor"),
         (F.col("late") | F.coalesce(F.lag("late").over(within), "late_far", F.lit(False))).alias("entangled"),
     )
+    rows = stored(rows, "beliefs")
     plain = rows.where("not entangled").select(
         *keys,
         F.inline(
@@ -135,25 +140,29 @@ def believed_at(ledger: DataFrame, recorded: int | None = None) -> DataFrame:
     return ledger.where((F.col("recorded_from") <= recorded) & ((F.col("recorded_to") == OPEN) | (F.col("recorded_to") > recorded)))
 
 
-def versions(believed: DataFrame, slice_us: int = 8 * DAY_US) -> DataFrame:
+def versions(believed: DataFrame, slice_us: int | None = None) -> DataFrame:
     """(table_name, entity_id, value, valid_from_us, valid_to_us): longest runs of one value, not crossing a delete.
 
     believed: rows of the ledger that hold at one recorded time. valid_to_us is -1 for the run that still holds.
     """
     keys = ["table_name", "key"]
     state = F.struct("live", "value")
-    rows = believed.withColumn("part", slice_of("valid_from", slice_us))
-    rows = with_carried(rows, keys, "part", [Carry("state_far", F.max_by(state, "valid_from"))])
-    within = Window.partitionBy(*keys, "part").orderBy("valid_from")
+    slice_us = slice_width(believed) if slice_us is None else slice_us
+    rows, part = sliced(stored(believed, "believed") if slice_us else believed, "valid_from", slice_us)
+    rows = with_carried(rows, keys, part, [Carry("state_far", F.max_by(state, "valid_from"))])
+    within = Window.partitionBy(*keys, *part).orderBy("valid_from")
     before = F.coalesce(F.lag(state).over(within), "state_far")
     turns = rows.withColumn("before", before).where(~F.col("before").eqNullSafe(state)).drop("before", "state_far")
-    turns = with_carried(turns, keys, "part", [Carry("next_far", F.min("valid_from"), "last", back=True)])
+    turns = with_carried(stored(turns, "turns") if part else turns, keys, part, [Carry("next_far", F.min("valid_from"), "last", back=True)])
     ends = F.coalesce(F.lead("valid_from").over(within), "next_far", F.lit(OPEN).cast("long"))
     return turns.withColumn("valid_to_us", ends).where("live").select("table_name", F.col("key").alias("entity_id"), "value", F.col("valid_from").alias("valid_from_us"), "valid_to_us")
 
 
-def attribute_history(feeds: Sequence[tuple[DataFrame, str, str, str]], slice_us: int = 8 * DAY_US) -> DataFrame:
+def attribute_history(feeds: Sequence[tuple[DataFrame, str, str, str]], slice_us: int | None = None) -> DataFrame:
     """Current history of several attributes; feeds: (feed, table_name, key, attribute)."""
+    if slice_us is None:
+        narrow = [slice_width(feed.select(key, attribute, "seq", "updated_at")) for feed, _, key, attribute in feeds]
+        slice_us = min(filter(None, narrow), default=0)
     rows = None
     for feed, name, key, attribute in feeds:
         one = attribute_changes(feed, name, key, attribute)

@@ -22,9 +22,17 @@ def _numeric(kind: Column) -> Column:
     return kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)")
 
 
+def _shown(value: Column, kind: Column, text: Column) -> Column:
+    """A value as problem texts show it: quoted text, True, False and None; arrays and objects as JSON."""
+    plain = F.replace(F.replace(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit("\t"), F.lit("\\t"))
+    double = text.contains("'") & ~text.contains('"')
+    quoted = F.when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'")))
+    return F.when(kind == "STRING", quoted).when(kind == "BOOLEAN", F.initcap(value)).when(kind == "VOID", F.lit("None")).otherwise(value)
+
+
 def parse_features(rows: DataFrame) -> DataFrame:
     """Feed events: source_event_id, magnitude, latitude, longitude, depth_km, place, event_time, updated_time, source_url and
-    `problem`, the first thing that is structurally wrong (null: nothing). rows: feature, a variant. Types are strict: numbers
+    `problem`, the first thing that is structurally wrong (null: nothing), with the value that was got. rows: feature, a variant. Types are strict: numbers
     only where numbers are due (no text, no booleans); a place or url that isn't text is null; other fields are ignored.
     """
     at = lambda path: F.try_variant_get("feature", path, "variant")
@@ -35,6 +43,9 @@ def parse_features(rows: DataFrame) -> DataFrame:
     bad = lambda path: ~_numeric(kind(path))
     off = lambda path: bad(path) & (kind(path) != "VOID")
     coordinates = "$.geometry.coordinates"
+    value = lambda path: F.try_variant_get("feature", path, "string")
+    got = lambda why, path: F.concat(F.lit(f"{why}, got "), _shown(value(path), kind(path), text(path)))
+    # fixed values: the texts of problems
     short = ~F.coalesce(kind(coordinates).startswith("ARRAY"), F.lit(False)) | (F.coalesce(F.size(F.try_variant_get("feature", coordinates, "array<variant>")), F.lit(0)) < 2)
     problem = (
         F.when(~F.coalesce(F.schema_of_variant("feature").startswith("OBJECT"), F.lit(False)), "feature is not an object")
@@ -42,12 +53,12 @@ def parse_features(rows: DataFrame) -> DataFrame:
         .when(~kind("$.properties").startswith("OBJECT"), "'properties' missing or not an object")
         .when(~kind("$.geometry").startswith("OBJECT"), "'geometry' missing or not an object")
         .when(short, "'geometry.coordinates' must be [lon, lat, depth]")
-        .when(bad(f"{coordinates}[0]"), "'longitude' must be a number")
-        .when(bad(f"{coordinates}[1]"), "'latitude' must be a number")
-        .when(off(f"{coordinates}[2]"), "'depth_km' must be a number")
-        .when(off("$.properties.mag"), "'magnitude' must be a number")
-        .when(bad("$.properties.time"), "'time' must be epoch milliseconds")
-        .when(bad("$.properties.updated"), "'updated' must be epoch milliseconds")
+        .when(bad(f"{coordinates}[0]"), got("'longitude' must be a number", f"{coordinates}[0]"))
+        .when(bad(f"{coordinates}[1]"), got("'latitude' must be a number", f"{coordinates}[1]"))
+        .when(off(f"{coordinates}[2]"), got("'depth_km' must be a number", f"{coordinates}[2]"))
+        .when(off("$.properties.mag"), got("'magnitude' must be a number", "$.properties.mag"))
+        .when(bad("$.properties.time"), got("'time' must be epoch milliseconds", "$.properties.time"))
+        .when(bad("$.properties.updated"), got("'updated' must be epoch milliseconds", "$.properties.updated"))
     )
     moment = lambda path: F.timestamp_micros((number(path) * 1000).try_cast("long"))
     return rows.select(
@@ -85,7 +96,9 @@ def poll_stats(polled: DataFrame, delivered: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("fetched"), F.count_if(new & got).alias("produced"), F.count_if(F.col("outcome") == "duplicate").alias("duplicates"), F.count_if(F.col("outcome") == "invalid").alias("invalid"), F.count_if(new & ~got).alias("undelivered"))
 
 
-def cursor_max(polled: DataFrame, before_ms: int | None, now: datetime) -> DataFrame:
-    """One row: the latest update seen so far in epoch ms, and how far it lies behind now."""
+def cursor_max(polled: DataFrame, delivered: DataFrame, before_ms: int | None, now: datetime) -> DataFrame:
+    """One row: the latest update in epoch ms among the new events that were delivered (source_event_id) and the cursor before, and
+    how far it lies behind now. What wasn't delivered doesn't move the cursor past itself; null if there is neither."""
+    sent = polled.where("outcome = 'new'").join(delivered.select("source_event_id").distinct(), "source_event_id", "left_semi")
     newest = F.greatest(F.max(F.unix_millis("updated_time")), F.lit(before_ms).cast("long"))
-    return polled.where("outcome <> 'invalid'").agg(newest.alias("last_updated_ms")).withColumn("lag_ms", F.unix_millis(F.lit(now)) - F.col("last_updated_ms"))
+    return sent.agg(newest.alias("last_updated_ms")).withColumn("lag_ms", F.unix_millis(F.lit(now)) - F.col("last_updated_ms"))

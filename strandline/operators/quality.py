@@ -6,6 +6,7 @@ writes codes and allows none. Neither stops at the first problem.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ EVENT_TYPE = "earthquake"
 RAW_TYPE = "usgs.earthquake.raw"
 SCALE = "magnitude_mw"
 DETECTOR = "external-event-normalizer"
+INGESTION = "ingestion-usgs"
 VIOLATION_TYPE = "data_quality.violation"
 
 
@@ -34,6 +36,7 @@ def ingest_reasons(event_id: Column, latitude: Column, longitude: Column, magnit
     """Why a parsed event is bad, as sentences in a fixed order; an empty array for a good one. NaN is out of every range."""
     text = lambda v: v.cast("string")
     limit = F.lit(now) + F.expr(f"INTERVAL {tolerance_s} SECONDS")
+    # fixed values: the sentences
     return _reasons(
         (F.coalesce(event_id == "", F.lit(True)), "source_event_id is empty"),
         (_outside(latitude, -90, 90), F.concat(F.lit("latitude "), text(latitude), F.lit(" out of range [-90, 90]"))),
@@ -49,6 +52,7 @@ def normalize_reasons(now: datetime, skew_s: int = 3600) -> Column:
     range; a null position is out of range."""
     lat, lon, mag = F.col("payload.latitude"), F.col("payload.longitude"), F.col("payload.magnitude")
     off = lambda v, low, high: ((v < low) | (v > high)) & ~F.isnan(v)
+    # fixed values: the codes
     return _reasons(
         (blank(F.col("source_event_id")), "missing_source_event_id"),
         (lat.isNull() | off(lat, -90, 90), "latitude_out_of_range"),
@@ -98,17 +102,33 @@ def ingest_violations(polled: DataFrame, now: datetime, tenant: str = "demo") ->
     raw = F.when(F.col("problem").isNull(), F.to_json(parsed, {"ignoreNullFields": "false"}))
     payload = F.struct(F.lit("usgs").alias("origin_source"), "source_event_id", "reasons", raw.alias("raw"))
     return polled.where("outcome = 'invalid'").select(
-        F.uuid().alias("event_id"), F.lit(VIOLATION_TYPE).alias("event_type"), F.lit(1).alias("event_version"), F.lit("ingestion").alias("source"), F.coalesce("source_event_id", F.lit("unknown")).alias("source_event_id"), F.lit(None).cast("string").alias("source_version"), F.lit(now).alias("event_time"), F.lit(now).alias("ingested_at"), F.uuid().alias("trace_id"), F.lit(None).cast("string").alias("correlation_id"), F.lit(tenant).alias("tenant_id"), payload.alias("payload"),
+        F.uuid().alias("event_id"), F.lit(VIOLATION_TYPE).alias("event_type"), F.lit(1).alias("event_version"), F.lit(INGESTION).alias("source"), F.coalesce("source_event_id", F.lit("unknown")).alias("source_event_id"), F.lit(None).cast("string").alias("source_version"), F.lit(now).alias("event_time"), F.lit(now).alias("ingested_at"), F.uuid().alias("trace_id"), F.lit(None).cast("string").alias("correlation_id"), F.lit(tenant).alias("tenant_id"), payload.alias("payload"),
     )
 
 
-def shipment_reasons(shipments: DataFrame) -> DataFrame:
-    """shipments with `reasons`: arrival before departure, unknown status, negative value. Nulls are not judged."""
+def shipment_reasons(shipments: DataFrame, suppliers: DataFrame | None = None, facilities: DataFrame | None = None) -> DataFrame:
+    """shipments with `reasons`: arrival before departure, unknown status, negative value, and - where the tables are given -
+    supplier_id or origin_facility_id without a row there. Nulls are not judged."""
     eta, departure = F.col("estimated_arrival_at").try_cast("timestamp"), F.col("planned_departure_at").try_cast("timestamp")
     known = ("created", "in_transit", "customs", "out_for_delivery", "delivered", "cancelled")
-    return shipments.withColumn("reasons", _reasons((eta < departure, "eta_before_departure"), (~F.col("status").isin(*known), "unknown_status"), (F.col("shipment_value") < 0, "negative_value")))
-
-
-def inventory_reasons(inventory: DataFrame) -> DataFrame:
-    """inventory with `reasons`: negative quantity on hand or daily usage."""
-    return inventory.withColumn("reasons", _reasons((F.col("quantity_on_hand") < 0, "negative_quantity"), (F.col("average_daily_usage") < 0, "negative_usage")))
+    cases = [(eta < departure, "eta_before_departure"), (~F.col("status").isin(*known), "unknown_status"), (F.col("shipment_value") < 0, "negative_value")]
+    rows, absent = _with_absent(shipments, (("supplier_id", suppliers, "supplier_id", "unknown_supplier"), ("origin_facility_id", facilities, "facility_id", "unknown_facility")))
+    return rows.withColumn("reasons", _reasons(*cases, *absent)).select(*shipments.columns, "reasons")
+
+
+def inventory_reasons(inventory: DataFrame, warehouses: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
+    """inventory with `reasons`: negative quantity on hand or daily usage, and - where the tables are given - warehouse_id or
+    product_id without a row there. Nulls are not judged."""
+    cases = [(F.col("quantity_on_hand") < 0, "negative_quantity"), (F.col("average_daily_usage") < 0, "negative_usage")]
+    rows, absent = _with_absent(inventory, (("warehouse_id", warehouses, "warehouse_id", "unknown_warehouse"), ("product_id", products, "product_id", "unknown_product")))
+    return rows.withColumn("reasons", _reasons(*cases, *absent)).select(*inventory.columns, "reasons")
+
+
+def _with_absent(rows: DataFrame, parents: Sequence[tuple[str, DataFrame | None, str, str]]) -> tuple[DataFrame, list[tuple[Column, str]]]:
+    """rows with a mark per parent table given (column, table, key, reason), and the cases of rows whose key isn't there."""
+    cases = []
+    for n, (column, table, key, reason) in enumerate(parents):
+        if table is not None:
+            rows = rows.join(table.select(F.col(key).alias(column)).distinct().withColumn(f"_there{n}", F.lit(True)), column, "left")
+            cases.append((F.col(column).isNotNull() & F.col(f"_there{n}").isNull(), reason))
+    return rows, cases

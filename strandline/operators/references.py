@@ -2,7 +2,8 @@
 
 Method: the distinct (parent, key, period) of all references are anti-joined against the keys the parent feeds ever set
 (`missing`) and held against the parents' state per period; only references in periods through which their parent doesn't
-simply live are joined back to the rows, and only in periods with a change of the parent is the instant looked up.
+simply live are joined back to the rows, and only in periods with a change of the parent is the instant looked up. The parents'
+feeds are read once and the referring feeds twice: for the distinct keys, and to join back.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators.feed import UPSERTS, changes
-from strandline.operators.sliced import DAY_US, slice_of
+from strandline.operators.sliced import DAY_US, slice_of, slice_width
+from strandline.session import stored
 
 
 #: period of references without a capture time
@@ -45,21 +47,23 @@ def _rows(feeds: dict[str, DataFrame], refs: Sequence[Reference], width: int) ->
     return out.withColumn("part", F.coalesce(slice_of("at", width), F.lit(NO_PERIOD)))
 
 
-def orphan_references(feeds: dict[str, DataFrame], keys: dict[str, str], refs: Sequence[Reference], period_us: int = 4 * DAY_US) -> DataFrame:
+def orphan_references(feeds: dict[str, DataFrame], keys: dict[str, str], refs: Sequence[Reference], period_us: int | None = None) -> DataFrame:
     """(table_name, field, seq, at, kind) of each non-null reference of an upsert whose key isn't live at the capture instant.
 
-    feeds: the change feeds by name; keys: the key column of each parent feed; period_us: width of the periods.
+    feeds: the change feeds by name; keys: the key column of each parent feed; period_us: width of the periods, by default four
+    days, and less where the feeds are so large that a hot key's period wouldn't fit in a task.
     kind is `missing` (no upsert has the key at all), `late` (the key's first change takes effect after the capture) or
     `deleted`. Keys are compared as written, so a blank is a key. A reference without a capture time is reported only if
     its key is missing. Repeated messages are reported each; rows without op, and delete and null-op messages, refer to
     nothing. Empty feeds: no rows; an empty parent feed makes every reference to it missing.
     """
+    period_us = period_us or min(slice_width(feeds[r.table_name], widest=4 * DAY_US) for r in refs)
     rows = _rows(feeds, refs, period_us)
     parents = None
     for name in dict.fromkeys(r.parent for r in refs):
         one = changes(feeds[name], keys[name]).select(F.lit(name).alias("parent"), "key", "eff", "live")
         parents = one if parents is None else parents.unionByName(one)
-    parents = parents.withColumn("part", slice_of("eff", period_us))
+    parents = stored(parents.groupBy("parent", "key", "eff").agg(F.max("live").alias("live")).withColumn("part", slice_of("eff", period_us)), "parents")
     where = ["parent", "key", "part"]
 
     probes = rows.select(*where).distinct()
@@ -81,13 +85,14 @@ def orphan_references(feeds: dict[str, DataFrame], keys: dict[str, str], refs: S
     )
     doubtful = spine.where(f"probe and sets and part <> {NO_PERIOD} and (changing or not coalesce(entering, false))").select(*where, F.coalesce("entering", F.lit(False)).alias("entering"), "changing", "first_eff")
 
-    suspects = rows.join(missing.unionByName(doubtful), where)
+    doubtful = stored(missing.unionByName(doubtful), "doubtful")
+    suspects = stored(rows.join(doubtful, where), "suspects")
     settled = suspects.where("not changing").select("table_name", "field", "seq", "at", "first_eff", F.col("entering").isNull().alias("never"))
 
     # Periods with a change: the last change at or before the instant, within (parent, key, period).
     timed = suspects.where("changing").select(*where, F.col("at").alias("t"), F.lit(1).alias("side"), "table_name", "field", "seq", "entering", "first_eff", F.lit(None).cast("boolean").alias("live"))
     # only the changes of periods in doubt are needed beside them
-    beside = parents.join(doubtful.where("changing").select(*where), where, "left_semi").groupBy(*where, "eff").agg(F.max("live").alias("live"))
+    beside = parents.join(doubtful.where("changing").select(*where), where, "left_semi")
     both = timed.unionByName(beside.select(*where, F.col("eff").alias("t"), F.lit(0).alias("side"), "live"), allowMissingColumns=True)
     w = Window.partitionBy(*where).orderBy("t", "side").rowsBetween(Window.unboundedPreceding, 0)
     looked = both.withColumn("then", F.last("live", ignorenulls=True).over(w)).where("side = 1 and not coalesce(then, entering)")

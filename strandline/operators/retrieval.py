@@ -155,15 +155,14 @@ def candidates(items: DataFrame, queries: DataFrame, vector: DataFrame, lexical:
 
 def fused(scores: DataFrame) -> DataFrame:
     """scores (query_id, item_id, vector, bm25, recency, reliability) with final_score: vector and bm25 scaled to 0..1 within the
-    query (0 if all are equal), nulls count as 0."""
-    w = Window.partitionBy("query_id")
-    out = scores
-    for c in ("vector", "bm25"):
-        filled = F.coalesce(F.col(c), F.lit(0.0))
-        span = F.max(filled).over(w) - F.min(filled).over(w)
-        out = out.withColumn(f"_{c}", F.coalesce((filled - F.min(filled).over(w)) / F.when(span > 0, span), F.lit(0.0)))
-    total = WEIGHTS["vector"] * F.col("_vector") + WEIGHTS["bm25"] * F.col("_bm25") + WEIGHTS["recency"] * F.coalesce("recency", F.lit(0.0)) + WEIGHTS["reliability"] * F.coalesce("reliability", F.lit(0.0))
-    return out.withColumn("final_score", total).drop("_vector", "_bm25")
+    query (0 if all are equal), nulls count as 0. The ranges are an aggregate that is joined back, one row a query, so the
+    candidates of a query need not meet in one task."""
+    parts = ("vector", "bm25")
+    filled = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in parts}
+    ranges = scores.groupBy("query_id").agg(*[how(filled[c]).alias(f"_{name}_{c}") for c in parts for name, how in (("low", F.min), ("high", F.max))])
+    scaled = {c: F.coalesce((filled[c] - F.col(f"_low_{c}")) / F.when(F.col(f"_high_{c}") > F.col(f"_low_{c}"), F.col(f"_high_{c}") - F.col(f"_low_{c}")), F.lit(0.0)) for c in parts}
+    total = sum(WEIGHTS[c] * scaled[c] for c in parts) + WEIGHTS["recency"] * F.coalesce("recency", F.lit(0.0)) + WEIGHTS["reliability"] * F.coalesce("reliability", F.lit(0.0))
+    return scores.join(ranges, "query_id").withColumn("final_score", total).select(*scores.columns, "final_score")
 
 
 def best_per_document(ranked: DataFrame) -> DataFrame:
@@ -174,9 +173,12 @@ def best_per_document(ranked: DataFrame) -> DataFrame:
 
 def within_budget(ranked: DataFrame, budget: int) -> DataFrame:
     """The items of each query in order of score whose tokens together stay within the budget; the first that doesn't fit ends
-    the list. ranked: query_id, item_id, final_score, n_tokens; the candidates of a query, already limited to a top k."""
-    w = Window.partitionBy("query_id").orderBy(F.col("final_score").desc(), "item_id").rowsBetween(Window.unboundedPreceding, 0)
-    return ranked.withColumn("used_tokens", F.sum("n_tokens").over(w)).where(F.col("used_tokens") <= budget)
+    the list. ranked: query_id, item_id, final_score, n_tokens; an item counts one token at least, so that more than the best
+    `budget` items can't matter: only those are summed up."""
+    w = Window.partitionBy("query_id").orderBy(F.col("final_score").desc(), "item_id")
+    best = ranked.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= budget).drop("_n")
+    used = F.sum(F.greatest(F.col("n_tokens"), F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return best.withColumn("used_tokens", used).where(F.col("used_tokens") <= budget)
 
 
 def diverse(ranked: DataFrame, k: int, balance: float = 0.7) -> DataFrame:

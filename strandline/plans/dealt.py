@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +22,6 @@ REFERENCES = (
 NEAR_KM = 5.0
 
 
-def _us(*when: int) -> int:
-    return int(datetime(*when, tzinfo=timezone.utc).timestamp()) * 1_000_000
-
-
-#: Batches of the change feeds by effect: the base before the window, then three parts of it.
-CUTS_US = (_us(2026, 1, 1), _us(2026, 3, 1), _us(2026, 5, 1))
-
-
 def _orphans(spark: SparkSession, root: str) -> DataFrame:
     return references.orphan_references({n: table(spark, root, n) for n in KEYS}, KEYS, REFERENCES)
 
@@ -90,7 +81,7 @@ def p4_ledger(spark: SparkSession, root: str) -> DataFrame:
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     out = None
     for name in ("facilities_cdc", "shipments_cdc"):
-        rows = changefeed.current_rows(table(spark, root, name), KEYS[name], CUTS_US)
+        rows = changefeed.current_rows(table(spark, root, name), KEYS[name])
         one = rows.select(F.lit(name).alias("table_name"), F.col("key").alias("entity_id"), "seq")
         out = one if out is None else out.unionByName(one)
     return out

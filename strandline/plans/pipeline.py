@@ -136,12 +136,12 @@ def dq_violation(spark, root):
     return v.groupBy("source_event_id", "event_type", "source", "payload.origin_source", F.concat_ws(",", "payload.reasons").alias("reasons")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {RAW_SQL}, i AS (SELECT 'latitude' AS kind FROM raw WHERE abs(latitude) > 90 UNION ALL SELECT 'magnitude' FROM raw WHERE magnitude IS NULL OR magnitude < -2 OR magnitude > 12 UNION ALL SELECT 'event_time' FROM raw WHERE event_time > {NOW_SQL} + INTERVAL 300 SECONDS)
-SELECT kind, count(*) AS n FROM i GROUP BY 1""")
+@query(f"""WITH {RAW_SQL} SELECT seq, concat_ws('; ', CASE WHEN abs(latitude) > 90 THEN 'latitude ' || round(latitude, 2) || ' out of range [-90, 90]' END, CASE WHEN magnitude IS NULL THEN 'magnitude is missing' END,
+CASE WHEN magnitude < -2 OR magnitude > 12 THEN 'magnitude ' || magnitude || ' out of range [-2.0, 12.0]' END, CASE WHEN event_time > {NOW_SQL} + INTERVAL 300 SECONDS THEN 'event_time ' || strftime(event_time, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(event_time) % 1000000 = 0 THEN '' ELSE '.' || lpad(CAST(epoch_us(event_time) % 1000000 AS VARCHAR), 6, '0') END || 'Z is too far in the future' END) AS reasons FROM raw""")
 def dq_ingest(spark, root):
     r = views.raw_events(spark, root)
-    why = quality.ingest_reasons(F.col("source_event_id"), F.col("payload.latitude"), F.col("payload.longitude"), F.col("payload.magnitude"), F.col("event_time"), NOW)
-    return r.select(F.explode(why).alias("why")).groupBy(F.split_part("why", F.lit(" "), F.lit(1)).alias("kind")).agg(F.count("*").alias("n"))
+    why = quality.ingest_reasons(F.col("source_event_id"), F.round("payload.latitude", 2), F.col("payload.longitude"), F.col("payload.magnitude"), F.col("event_time"), NOW)
+    return r.select("seq", F.concat_ws("; ", why).alias("reasons"))
 
 
 def _normalized(spark, root):
@@ -181,10 +181,12 @@ def geo_correlate(spark, root):
     return impacts_of(spark, root).select("impact_id", "seq", F.round("distance_km", 6).alias("distance_km"), "radius_km")
 
 
-@query(f"{PIPE}, {EMITTED}, x AS ({IMPACTS.format(fac='fac')}) SELECT impact_id, 'drv' AS source, 'earthquake' AS event_type, 'facility' AS asset_type, true AS inside_affected_area, round(max(1 - distance_km / radius_km), 5) AS best_score, count(*) AS n FROM x GROUP BY ALL")
+@query(f"""{PIPE}, {EMITTED}, x AS ({IMPACTS.format(fac='fac').replace('SELECT ', "SELECT 'm' || e.seq AS event_id, 'drv' AS source, e.source_event_id, 'earthquake' AS event_type, epoch_us(e.event_time) AS event_us, 'facility' AS asset_type, f.facility_id AS asset_id, f.supplier_id, round(e.latitude, 6) AS event_latitude, round(e.longitude, 6) AS event_longitude, round(f.latitude, 6) AS asset_latitude, round(f.longitude, 6) AS asset_longitude, true AS inside_affected_area, round(e.magnitude, 6) AS severity, 't' || e.seq AS trace_id, 'demo' AS tenant_id, ", 1)})
+SELECT *, round(1 - distance_km / radius_km, 5) AS geospatial_score, epoch_us({NOW_SQL}) AS calculated_us FROM x""")
 def impact_project(spark, root):
     i = impacts_of(spark, root)
-    return i.groupBy("impact_id", "source", "event_type", "asset_type", "inside_affected_area").agg(F.round(F.max("geospatial_score"), 5).alias("best_score"), F.count("*").alias("n"))
+    rounded = {c: F.round(c, 6) for c in ("event_latitude", "event_longitude", "asset_latitude", "asset_longitude", "distance_km", "severity")} | {"geospatial_score": F.round("geospatial_score", 5)}
+    return i.withColumns(rounded | {"event_us": F.unix_micros("event_time"), "calculated_us": F.unix_micros("calculated_at")}).drop("event_time", "calculated_at")
 
 
 @query(f"{PIPE}, {EMITTED} SELECT count(*) AS events_correlated, (SELECT count(*) FROM ({IMPACTS.format(fac='fac')})) AS impacts_emitted FROM emitted WHERE radius_km IS NOT NULL")
@@ -292,6 +294,11 @@ def _polled(spark, root, markers=None):
     return ingest.classified(parsed, markers, NOW)
 
 
+def _delivered(spark, root):
+    """The ids of two thirds of the events: what a poll got acknowledged."""
+    return table(spark, root, "events").where("event_id % 3 <> 0").select(F.concat(F.lit("us"), "event_id").alias("source_event_id"))
+
+
 @query(polled_sql("source_event_id, problem, CASE WHEN problem IS NULL THEN magnitude END AS magnitude, CASE WHEN problem IS NULL THEN lat::DOUBLE END AS latitude, CASE WHEN problem IS NULL THEN ms ELSE -1 END AS event_ms"))
 def parse_feature(spark, root):
     p = ingest.parse_features(ingest.features(views.feed_documents(spark, root)))
@@ -310,22 +317,18 @@ _OK = f"problem IS NULL AND lat <= 90 AND magnitude IS NOT NULL AND magnitude BE
 
 @query(polled_sql(f"count(*) AS fetched, count(*) FILTER ({_OK} AND event_id % 3 <> 0) AS produced, 0::BIGINT AS duplicates, count(*) FILTER (NOT coalesce({_OK}, false)) AS invalid, count(*) FILTER ({_OK} AND event_id % 3 = 0) AS undelivered"))
 def poll_stats(spark, root):
-    polled = _polled(spark, root)
-    delivered = table(spark, root, "events").where("event_id % 3 <> 0").select(F.concat(F.lit("us"), "event_id").alias("source_event_id"))
-    return ingest.poll_stats(polled, delivered)
+    return ingest.poll_stats(_polled(spark, root), _delivered(spark, root))
 
 
 @query(polled_sql(f"source_event_id, CASE WHEN NOT coalesce({_OK}, false) THEN 'invalid' WHEN event_id % 3 <> 0 THEN 'duplicate' ELSE 'new' END AS outcome"))
 def cursor_dedup_join(spark, root):
-    polled = _polled(spark, root)
-    delivered = table(spark, root, "events").where("event_id % 3 <> 0").select(F.concat(F.lit("us"), "event_id").alias("source_event_id"))
-    markers = ingest.committed(spark.createDataFrame([], "source_event_id string, seen string"), polled, delivered)
+    markers = ingest.committed(spark.createDataFrame([], "source_event_id string, seen string"), _polled(spark, root), _delivered(spark, root))
     return _polled(spark, root, markers).select("source_event_id", "outcome")
 
 
-@query(polled_sql(f"max(ms) + 1000 AS last_updated_ms, epoch_ms({NOW_SQL}) - max(ms) - 1000 AS lag_ms").replace("FROM events))", f"FROM events)) WHERE {_OK}"))
+@query(polled_sql(f"max(ms) + 1000 AS last_updated_ms, epoch_ms({NOW_SQL}) - max(ms) - 1000 AS lag_ms").replace("FROM events))", f"FROM events)) WHERE {_OK} AND event_id % 3 <> 0"))
 def cursor_max(spark, root):
-    return ingest.cursor_max(_polled(spark, root), None, NOW)
+    return ingest.cursor_max(_polled(spark, root), _delivered(spark, root), None, NOW)
 
 
 # --- operational context ------------------------------------------------------------------------------------------------------
@@ -340,22 +343,33 @@ def filter_active_shipments(spark, root):
     return features.active_shipments(_state(spark, root, "shipments_cdc", "status")).select("shipment_id", "status")
 
 
-@query("SELECT facility_id, supplier_id FROM (SELECT CAST(s_suppkey AS VARCHAR) AS facility_id, CAST(s_suppkey AS VARCHAR) AS supplier_id FROM supplier) ORDER BY 1 LIMIT 1")
+@query(f"""WITH {INVENTORY_SQL} SELECT 'inventory' AS source, CAST(product_id AS VARCHAR) AS id FROM inv UNION ALL SELECT 'shipment', shipment_id FROM {_last_sql('shipments_cdc')} WHERE op <> 'd' AND status NOT IN ('delivered', 'cancelled')
+UNION ALL SELECT 'facility', min(facility_id) FROM {_last_sql('facilities_cdc')} WHERE op <> 'd'""")
 def src_oltp_scan(spark, root):
-    return views.facilities(spark, root).select("facility_id", "supplier_id").orderBy("facility_id").limit(1)
+    """The three scans of the operational tables: all stock, the shipments under way, the first facility."""
+    stock = views.inventory(spark, root).select(F.lit("inventory").alias("source"), F.col("product_id").cast("string").alias("id"))
+    moving = features.active_shipments(_state(spark, root, "shipments_cdc", "status")).select(F.lit("shipment"), "shipment_id")
+    first = _state(spark, root, "facilities_cdc").orderBy("facility_id").limit(1).select(F.lit("facility"), "facility_id")
+    return stock.union(moving).union(first)
 
 
 @query(f"""WITH s AS (SELECT * FROM {_last_sql('shipments_cdc')} WHERE op <> 'd'), j AS (
-SELECT shipment_id, concat_ws(',', CASE WHEN TRY_CAST(estimated_arrival_at AS TIMESTAMPTZ) < TRY_CAST(planned_departure_at AS TIMESTAMPTZ) THEN 'eta_before_departure' END, CASE WHEN status NOT IN ('created', 'in_transit', 'customs', 'out_for_delivery', 'delivered', 'cancelled') THEN 'unknown_status' END, CASE WHEN shipment_value < 0 THEN 'negative_value' END) AS reasons FROM s)
+SELECT shipment_id, concat_ws(',', CASE WHEN TRY_CAST(estimated_arrival_at AS TIMESTAMPTZ) < TRY_CAST(planned_departure_at AS TIMESTAMPTZ) THEN 'eta_before_departure' END, CASE WHEN status NOT IN ('created', 'in_transit', 'customs', 'out_for_delivery', 'delivered', 'cancelled') THEN 'unknown_status' END, CASE WHEN shipment_value < 0 THEN 'negative_value' END,
+CASE WHEN supplier_id NOT IN (SELECT supplier_id FROM {_last_sql('suppliers_cdc')} WHERE op <> 'd') THEN 'unknown_supplier' END, CASE WHEN origin_facility_id NOT IN (SELECT facility_id FROM {_last_sql('facilities_cdc')} WHERE op <> 'd') THEN 'unknown_facility' END) AS reasons FROM s)
 SELECT * FROM j""")
 def dq_shipment(spark, root):
-    s = _state(spark, root, "shipments_cdc", "estimated_arrival_at", "planned_departure_at", "status", "shipment_value")
-    return quality.shipment_reasons(s).select("shipment_id", F.concat_ws(",", "reasons").alias("reasons"))
+    s = _state(spark, root, "shipments_cdc", "estimated_arrival_at", "planned_departure_at", "status", "shipment_value", "supplier_id", "origin_facility_id")
+    judged = quality.shipment_reasons(s, _state(spark, root, "suppliers_cdc"), _state(spark, root, "facilities_cdc"))
+    return judged.select("shipment_id", F.concat_ws(",", "reasons").alias("reasons"))
 
 
-@query(f"WITH {INVENTORY_SQL} SELECT product_id, CASE WHEN quantity_on_hand < 0 THEN 'negative_quantity' ELSE '' END AS reasons FROM inv")
+@query(f"WITH {INVENTORY_SQL} SELECT product_id, concat_ws(',', CASE WHEN quantity_on_hand < 0 THEN 'negative_quantity' END, CASE WHEN average_daily_usage - 25 < 0 THEN 'negative_usage' END, CASE WHEN product_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 48) THEN 'unknown_product' END) AS reasons FROM inv")
 def dq_inventory(spark, root):
-    return quality.inventory_reasons(views.inventory(spark, root)).select("product_id", F.concat_ws(",", "reasons").alias("reasons"))
+    """Usage is shifted by 25 so that some is negative; products are those with a large order line, so that some don't exist."""
+    stock = views.inventory(spark, root).withColumn("average_daily_usage", F.col("average_daily_usage") - 25)
+    products = table(spark, root, "lineitem").where("l_quantity > 48").select("l_partkey").distinct()
+    judged = quality.inventory_reasons(stock, products=products.withColumnRenamed("l_partkey", "product_id"))
+    return judged.select("product_id", F.concat_ws(",", "reasons").alias("reasons"))
 
 
 @query(f"SELECT facility_id, supplier_id FROM {_last_sql('facilities_cdc')} f WHERE op <> 'd' AND supplier_id IS NOT NULL AND supplier_id NOT IN (SELECT supplier_id FROM {_last_sql('suppliers_cdc')} WHERE op <> 'd')")
@@ -405,36 +419,33 @@ def sample_shipments(spark, root):
     return features.sample_half(features.active_shipments(_state(spark, root, "shipments_cdc", "status")).select("shipment_id"), seed=7)
 
 
-@query("""SELECT event_type, count(*) AS n, round(quantile_cont(x, 0.5), 6) AS p50_s, round(quantile_cont(x, 0.95), 6) AS p95_s, round(quantile_cont(x, 0.99), 6) AS p99_s FROM (SELECT event_type, (epoch_us(normalized_at) - epoch_us(ingested_at)) / 1e6 AS x FROM events_normalized) GROUP BY 1""")
+@query("""SELECT event_type, count(*) AS n, round(quantile_cont(x, 0.5), 6) AS p50_s, round(quantile_cont(x, 0.95), 6) AS p95_s, round(quantile_cont(x, 0.99), 6) AS p99_s FROM (SELECT event_type, floor((epoch_us(normalized_at) - epoch_us(ingested_at)) / 1e3) / 1e3 AS x FROM events_normalized) GROUP BY 1""")
 def latency_quantiles(spark, root):
     return features.latency(table(spark, root, "events_normalized"), "ingested_at", "normalized_at", ["event_type"])
 
 
-@query("WITH x AS (SELECT (epoch_us(normalized_at) - epoch_us(ingested_at)) / 1e6 AS s FROM events_normalized), b AS (SELECT unnest([0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 7.5, 10.0, NULL]::DOUBLE[]) AS le_s) SELECT le_s, count(*) FILTER (le_s IS NULL OR s <= le_s) AS n FROM x, b GROUP BY 1")
+@query("WITH x AS (SELECT (epoch_us(normalized_at) - epoch_us(ingested_at)) / 1e6 AS s FROM events_normalized), b AS (SELECT unnest([0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 8.0, 10.0, NULL]::DOUBLE[]) AS le_s) SELECT le_s, count(*) FILTER (le_s IS NULL OR s <= le_s) AS n FROM x, b GROUP BY 1")
 def latency_histogram(spark, root):
     return features.latency_histogram(table(spark, root, "events_normalized"), "ingested_at", "normalized_at")
 
 
-@query("""WITH n AS (SELECT min(supplier_id) AS entity_id, trim(regexp_replace(regexp_replace(lower(supplier_name), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM suppliers_cdc WHERE supplier_name IS NOT NULL AND op IN ('c', 'r', 'u') GROUP BY 2),
-m AS (SELECT DISTINCT normalized_name AS mention, trim(regexp_replace(regexp_replace(lower(normalized_name), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM suppliers_cdc WHERE normalized_name IS NOT NULL)
-SELECT mention, n.entity_id FROM m JOIN n USING (name)""")
-def entity_link(spark, root):
-    return _links(spark, root).where("how = 'exact'").select("mention", "entity_id")
-
-
 def _links(spark, root):
     s = table(spark, root, "suppliers_cdc")
     aliases = s.where(F.col("op").isin("c", "r", "u") & F.col("supplier_name").isNotNull()).select(F.col("supplier_id").alias("entity_id"), F.col("supplier_name").alias("alias"))
-    mentions = s.where("normalized_name is not null").select(F.col("normalized_name").alias("mention")).distinct()
+    name, n = F.col("normalized_name"), F.length("normalized_name")
+    changed = F.when(n % 7 == 0, F.substr(name, F.lit(2))).when(n % 7 == 1, F.concat(F.lit("x"), F.regexp_replace(name, "a", "aa"))).otherwise(name)
+    mentions = s.where("normalized_name is not null").select(changed.alias("mention")).distinct()
     return features.link_entities(mentions, aliases)
 
 
 @query("""WITH n AS (SELECT min(supplier_id) AS entity_id, trim(regexp_replace(regexp_replace(lower(supplier_name), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM suppliers_cdc WHERE supplier_name IS NOT NULL AND op IN ('c', 'r', 'u') GROUP BY 2),
-m AS (SELECT DISTINCT normalized_name AS mention, trim(regexp_replace(regexp_replace(lower(normalized_name), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM suppliers_cdc WHERE normalized_name IS NOT NULL),
+m0 AS (SELECT DISTINCT CASE length(normalized_name) % 7 WHEN 0 THEN substr(normalized_name, 2) WHEN 1 THEN 'x' || replace(normalized_name, 'a', 'aa') ELSE normalized_name END AS mention FROM suppliers_cdc WHERE normalized_name IS NOT NULL),
+m AS (SELECT mention, trim(regexp_replace(regexp_replace(lower(mention), '[^\\p{L}\\p{N} ]+', ' ', 'g'), ' +', ' ', 'g')) AS name FROM m0),
 d AS (SELECT m.name, min(struct_pack(d := levenshtein(m.name, n.name), id := n.entity_id)).id AS near_id FROM (SELECT DISTINCT name FROM m WHERE name <> '' AND name NOT IN (SELECT name FROM n)) m JOIN n ON n.name <> '' AND levenshtein(m.name, n.name) <= 2 GROUP BY 1)
 SELECT mention, coalesce(n.entity_id, near_id) AS entity_id, CASE WHEN n.entity_id IS NOT NULL THEN 'exact' WHEN near_id IS NOT NULL THEN 'near' END AS how FROM m LEFT JOIN n ON n.name = m.name AND n.name <> '' LEFT JOIN d ON d.name = m.name""")
-def entity_link_all(spark, root):
-    """Every mention with what it is linked to and how, also near ones and those left unlinked; entity_link is its exact part, as its SQL."""
+def entity_link(spark, root):
+    """Every mention with what it is linked to and how, also near ones and those left unlinked. Each seventh mention has lost or
+    gained letters, so that there are near and unlinked ones."""
     return _links(spark, root).select("mention", "entity_id", "how")
 
 
@@ -506,20 +517,6 @@ def _priors(spark, root):
     return docs.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - age)).alias("recency"), F.when(F.col("source").like("%-wire"), 0.9).otherwise(0.5).alias("reliability"))
 
 
-def _fused(spark, root):
-    scored = _bm25(spark, root).withColumnRenamed("score", "bm25").join(_priors(spark, root), "doc_id").withColumn("item_id", F.col("doc_id")).withColumn("vector", F.col("doc_id") % 101 / F.lit(100.0))
-    return retrieval.fused(scored)
-
-
-_FUSED = f"""{_BM25}, s AS (SELECT query_id, doc_id, score, (doc_id % 101) / 100e0 AS v, greatest(0, least(1, 1 - (1782777600 - floor(epoch(published_at))) / (86400e0 * 181))) AS recency, CASE WHEN source LIKE '%-wire' THEN 0.9 ELSE 0.5 END AS rel FROM bm JOIN documents USING (doc_id)),
-fz AS (SELECT query_id, doc_id, 0.55 * (v - min(v) OVER q) / (max(v) OVER q - min(v) OVER q) + 0.30 * (score - min(score) OVER q) / (max(score) OVER q - min(score) OVER q) + 0.10 * recency + 0.05 * rel AS final_score FROM s WINDOW q AS (PARTITION BY query_id))"""
-
-
-@query(f"WITH {_FUSED} SELECT query_id, doc_id, round(final_score, 4) AS final_score FROM fz")
-def hybrid_fusion(spark, root):
-    return _fused(spark, root).select("query_id", "doc_id", F.round("final_score", 4).alias("final_score"))
-
-
 #: The tables hold no embeddings of questions: that of vec_id 50 n stands in for question n, and vec_id for doc_id.
 _UNION = f"""{_BM25}, ve AS (SELECT CAST(q.vec_id / 50 AS INT) AS query_id, i.vec_id AS doc_id, round(list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 6) AS v FROM embeddings q, embeddings i WHERE q.vec_id IN ({", ".join(str(50 * n) for n, _ in ASKED)})),
 s AS (SELECT a.query_id, d.doc_id, coalesce(score, 0) AS score, coalesce(v, 0) AS v, greatest(0, least(1, 1 - (1782777600 - floor(epoch(published_at))) / (86400e0 * 181))) AS recency, CASE WHEN source LIKE '%-wire' THEN 0.9 ELSE 0.5 END AS rel
@@ -528,8 +525,8 @@ fz AS (SELECT query_id, doc_id, 0.55 * (v - min(v) OVER q) / (max(v) OVER q - mi
 
 
 @query(f"WITH {_UNION} SELECT query_id, doc_id, round(final_score, 4) AS final_score FROM fz")
-def hybrid_union(spark, root):
-    """hybrid_fusion over all documents with cosines; that one is over the documents with a query term, as its SQL."""
+def hybrid_fusion(spark, root):
+    """Every document for every question, also those without a query term."""
     asked = spark.createDataFrame([(n, 50 * n) for n, _ in ASKED], "query_id int, vec_id long")
     e = table(spark, root, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     vector = retrieval.similarities(asked.join(e, "vec_id").select("query_id", "vector"), e.withColumnRenamed("vec_id", "item_id")).withColumnRenamed("similarity", "vector")
@@ -572,6 +569,8 @@ def validate_citations(spark, root):
     return retrieval.citation_problems(claims, evidence, context).distinct()
 
 
-@query(f"SELECT impact_id, supplier_id FROM {_LATEST_IMPACTS} WHERE supplier_id IS NOT NULL AND supplier_id NOT IN (SELECT supplier_id FROM suppliers_cdc WHERE supplier_id IS NOT NULL)")
+@query("SELECT seq, purchase_order_id FROM shipments_cdc WHERE purchase_order_id IS NOT NULL AND purchase_order_id NOT IN (SELECT purchase_order_id FROM purchase_orders_cdc WHERE op IN ('c', 'r', 'u') AND purchase_order_id IS NOT NULL)")
 def validate_ids(spark, root):
-    return features.without_parent(_latest_impacts(spark, root).select("impact_id", "supplier_id"), "supplier_id", table(spark, root, "suppliers_cdc"), "supplier_id").select("impact_id", "supplier_id")
+    """Claimed order ids that no order ever had."""
+    orders = table(spark, root, "purchase_orders_cdc").where(F.col("op").isin("c", "r", "u"))
+    return features.without_parent(table(spark, root, "shipments_cdc").select("seq", "purchase_order_id"), "purchase_order_id", orders, "purchase_order_id").select("seq", "purchase_order_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.sources.tables import table
@@ -87,11 +87,14 @@ def feed_documents(spark: SparkSession, root: str) -> DataFrame:
         ',"properties":{"mag":', CASE WHEN k = 7 THEN 'null' WHEN k = 8 THEN 'true' ELSE cast(value / 40 AS string) END, ',"place":', CASE WHEN k = 9 THEN '5' ELSE '"near"' END, ',"time":', CASE WHEN k = 10 THEN '"soon"' ELSE cast(ms AS string) END, ',"updated":', ms + 1000, ',"url":null},
         "geometry":', CASE WHEN event_id % 37 = 0 THEN 'null' ELSE concat('{"type":"Point","coordinates":[', user_id % 360 - 180, ',', cast(CASE WHEN k >= 97 THEN 999 ELSE k - 45 END AS string), CASE WHEN k % 3 = 0 THEN '' ELSE concat(',', k, '.5') END, ']}') END, '}')"""
     )
+    # a feed has at most 500 features, whatever number of events a user has
     whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(feature)), F.lit("]}"))
-    return e.groupBy("user_id").agg(whole.alias("value"))
+    number = F.row_number().over(Window.partitionBy("user_id", F.pmod(F.xxhash64("event_id"), F.lit(64))).orderBy("event_id"))
+    paged = e.select("*", F.floor(number / 500).alias("page"), F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("share"))
+    return paged.groupBy("user_id", "share", "page").agg(whole.alias("value")).select("user_id", "value")
 
 
 def polled_sql(columns: str) -> str:
     return f"""SELECT {columns} FROM (SELECT *, CASE WHEN event_id % 41 = 0 THEN NULL ELSE 'us' || event_id END AS source_event_id,
-CASE WHEN event_id % 41 = 0 THEN 'feature has no string ''id''' WHEN event_id % 37 = 0 THEN '''geometry'' missing or not an object' WHEN k = 8 THEN '''magnitude'' must be a number' WHEN k = 10 THEN '''time'' must be epoch milliseconds' END AS problem,
+CASE WHEN event_id % 41 = 0 THEN 'feature has no string ''id''' WHEN event_id % 37 = 0 THEN '''geometry'' missing or not an object' WHEN k = 8 THEN '''magnitude'' must be a number, got True' WHEN k = 10 THEN '''time'' must be epoch milliseconds, got ''soon''' END AS problem,
 CASE WHEN k IN (7, 8) THEN NULL ELSE value / 40 END AS magnitude, CASE WHEN k >= 97 THEN 999 ELSE k - 45 END AS lat, epoch_us(ts) // 1000 AS ms FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events))"""

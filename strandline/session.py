@@ -26,12 +26,14 @@ def local_session(app: str = "strandline", cores: str = "*", shuffle_partitions:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; one of our own only where none is set."""
+    """The folder in spark.checkpoint.dir, which all executors share; one of our own only where none is set and all is on one machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         base = configured
     elif (existing := spark.sparkContext.getCheckpointDir()) is not None:
         base = existing
+    elif not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         base = "file://" + tempfile.mkdtemp(prefix="strandline-")
         spark.conf.set("spark.checkpoint.dir", base) if spark.conf.isModifiable("spark.checkpoint.dir") else None
@@ -55,3 +57,17 @@ def settled(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder: computed once however often it is used, in columns, with its size known to the planner."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def subfolders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of the folders name=n below path, ascending; none if there is no such path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
+    return sorted(int(s.getPath().getName().split("=")[1]) for s in found)

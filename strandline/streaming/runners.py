@@ -1,21 +1,29 @@
 """Structured Streaming runners of the stateful stages. Each reads a stream, keeps its place in a checkpoint folder, and ends once
-the input is used up unless a processing-time trigger is given. Late records are processed like any others."""
+the input is used up unless a processing-time trigger is given. Late records are processed like any others.
+
+Each batch is judged and stamped by the time at which it is processed; `clock` gives another time, for tests and replays.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from datetime import datetime
+from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strandline.config import Settings
 from strandline.operators import correlate, ingest, quality, state
-from strandline.operators.dedup import with_content
+from strandline.operators.dedup import decisions, with_content
 from strandline.operators.late_events import EventLedger
+from strandline.sources.keyed import KeyedTable
+
+Clock = Callable[[], datetime]
+
+
+def system_clock() -> datetime:
+    return datetime.now(timezone.utc)
 
 
 def _start(writer, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -23,11 +31,12 @@ def _start(writer, checkpoint: str, every: str | None) -> StreamingQuery:
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def normalize_stream(raw: DataFrame, good: str, audit: str, checkpoint: str, now: datetime, settings: Settings = Settings(), every: str | None = None) -> StreamingQuery:
+def normalize_stream(raw: DataFrame, good: str, audit: str, checkpoint: str, clock: Clock = system_clock, settings: Settings = Settings(), every: str | None = None) -> StreamingQuery:
     """Route raw envelopes to the normalized log or the audit log; each batch is checked once and written audit first. A batch
     that is repeated after a failure replaces its own folders."""
 
     def write(batch: DataFrame, number: int) -> None:
+        now = clock()
         checked = quality.checked(batch, now, settings.normalize_skew_s).persist()
         try:
             quality.violations(checked, now).write.mode("overwrite").parquet(f"{audit}/batch={number}")
@@ -38,83 +47,80 @@ def normalize_stream(raw: DataFrame, good: str, audit: str, checkpoint: str, now
     return _start(raw.writeStream.foreachBatch(write), checkpoint, every)
 
 
-def poll_stream(feeds: DataFrame, raw: str, audit: str, markers: str, checkpoint: str, now: datetime, settings: Settings = Settings(), every: str | None = None) -> StreamingQuery:
-    """Take in polls of a GeoJSON feed (value: the text): audit and raw records are written first, and only then are the markers
-    of what was written put into a new version of the marker table, so a batch that fails midway is tried again whole."""
+def poll_stream(feeds: DataFrame, raw: str, audit: str, markers: str, checkpoint: str, clock: Clock = system_clock, settings: Settings = Settings(), every: str | None = None) -> StreamingQuery:
+    """Take in polls of a GeoJSON feed (value: the text): audit and raw records are written first, and only then are the markers of
+    what was written put into the marker table, so a batch that fails midway is tried again whole. A marker counts for
+    settings.marker_ttl_s after it was set; lapsed ones leave the table when their bucket is next written."""
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = read_versions(spark, markers, below=number)
-        seen = spark.read.parquet(f"{markers}/v={before[-1]}") if before else spark.createDataFrame([], "source_event_id string, seen string")
-        polled = ingest.classified(ingest.parse_features(ingest.features(batch)), seen, now, settings.ingest_skew_s).persist()
+        spark, now = batch.sparkSession, clock()
+        table = KeyedTable(spark, markers, ["source_event_id"], "source_event_id string, seen string, set_at timestamp")
+        polled = ingest.parse_features(ingest.features(batch)).persist()
         try:
-            quality.ingest_violations(polled, now).write.mode("overwrite").parquet(f"{audit}/batch={number}")
-            new = polled.where("outcome = 'new'")
+            known = table.matching(polled.select("source_event_id"), before=number)
+            alive = known.where(F.col("set_at") > F.lit(now) - F.expr(f"INTERVAL {settings.marker_ttl_s} SECONDS"))
+            judged = ingest.classified(polled, alive, now, settings.ingest_skew_s).persist()
+            quality.ingest_violations(judged, now).write.mode("overwrite").parquet(f"{audit}/batch={number}")
+            new = judged.where("outcome = 'new'")
             quality.raw_envelope(new, now).write.mode("overwrite").parquet(f"{raw}/batch={number}")
-            ingest.committed(seen, polled, new).write.mode("overwrite").parquet(f"{markers}/v={number}")
+            fresh = ingest.committed(alive.limit(0), judged, new).withColumn("set_at", F.lit(now).cast("timestamp"))
+            keep = F.col("set_at") > F.lit(now) - F.expr(f"INTERVAL {settings.marker_ttl_s} SECONDS")
+            table.upsert(fresh, number, lambda rows: state.latest(rows.where(keep), ["source_event_id"], "set_at"))
+            judged.unpersist()
         finally:
             polled.unpersist()
 
     return _start(feeds.writeStream.foreachBatch(write), checkpoint, every)
 
 
-def dedup_stream(events: DataFrame, out: str, checkpoint: str, order: Sequence[str] = ("seq",), arrival: str = "ingested_at", ttl_s: int | None = None, every: str | None = None) -> StreamingQuery:
-    """Emit the events whose content differs from what their key said last. State is one digest and one time per key; rows of one
-    batch are taken in the order of `order`."""
-    keyed = with_content(events).where("dedup_key is not null")
-    columns = list(keyed.columns)
+def dedup_stream(events: DataFrame, out: str, held: str, checkpoint: str, order: str = "seq", arrival: str = "ingested_at", ttl_s: int | None = None, every: str | None = None) -> StreamingQuery:
+    """Emit the events whose content differs from what their key said last; events without a key are emitted each.
 
-    def decide(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        digest, seen = held.get if held.exists else (None, None)
-        rows = pd.concat(list(batches)).sort_values(list(order))
-        emit = []
-        for content, at in zip(rows["content_hash"], rows[arrival], strict=True):
-            now = int(pd.Timestamp(at).value // 1000)
-            lapsed = ttl_s is not None and seen is not None and now - seen >= ttl_s * 1_000_000
-            emit.append(digest is None or lapsed or digest != content)
-            digest, seen = content, now
-        held.update((digest, seen))
-        yield rows[emit][columns]
+    The state is a table of one digest and one time per key in `held`. Each batch is decided in the order of `order` by the
+    same plan as a whole log, with the state before it; the buckets of its keys are then written anew, without the keys
+    whose last event is ttl_s or more older than the newest one of the batch, by `arrival`.
+    """
 
-    fresh = keyed.groupBy("dedup_key").applyInPandasWithState(decide, keyed.schema, "digest string, seen long", "append", GroupStateTimeout.NoTimeout)
-    return _start(fresh.drop("dedup_key", "content_hash").writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint, every)
+    def write(batch: DataFrame, number: int) -> None:
+        table = KeyedTable(batch.sparkSession, held, ["dedup_key"], "dedup_key string, content_hash string, at long, batch long")
+        rows = batch.persist()
+        try:
+            known = table.matching(with_content(rows).select("dedup_key"), before=number)
+            decided = decisions(rows, order, arrival, ttl_s, held=known)
+            decided.where("decision <> 'DROP'").select(*batch.columns).write.mode("overwrite").parquet(f"{out}/batch={number}")
+            at = F.unix_micros(arrival)
+            last = with_content(rows).groupBy("dedup_key").agg(F.max_by(F.struct("content_hash", at.alias("at")), order).alias("s")).select("dedup_key", "s.*")
+            newest = rows.agg(F.max(at)).first()[0]
+            alive = F.lit(True) if ttl_s is None or newest is None else F.col("at") > newest - ttl_s * 1_000_000
+            table.upsert(last.withColumn("batch", F.lit(number).cast("long")), number, lambda both: state.latest(both.where(alive), ["dedup_key"], "batch"))
+        finally:
+            rows.unpersist()
+
+    return _start(events.writeStream.foreachBatch(write), checkpoint, every)
 
 
-def current_state_stream(changes: DataFrame, key: Sequence[str], table: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep `table` at the latest change of every key. Each batch writes a new version next to the last one; readers take the
-    version with the highest number that has a _SUCCESS file (see read_state)."""
+def current_state_stream(changes: DataFrame, key: Sequence[str], table: str, checkpoint: str, every: str | None = None, buckets: int = 64) -> StreamingQuery:
+    """Keep `table` at the latest change of every key, deletes included. A batch rewrites the buckets of keys it touches; see KeyedTable."""
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = read_versions(spark, table, below=number)
-        old = spark.read.parquet(f"{table}/v={before[-1]}") if before else None
-        state.merged(old, batch, key).write.mode("overwrite").parquet(f"{table}/v={number}")
+        kept = KeyedTable(batch.sparkSession, table, key, batch.schema, buckets)
+        kept.upsert(batch, number, lambda rows: state.latest(rows, key))
 
     return _start(changes.writeStream.foreachBatch(write), checkpoint, every)
 
 
-def read_versions(spark, table: str, below: int | None = None) -> list[int]:
-    """Numbers of the complete versions of a state table, ascending."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
-    done = [int(p.getName()[2:]) for p in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(n for n in done if below is None or n < below)
-
-
-def read_state(spark, table: str) -> DataFrame:
-    """The live rows of a state table."""
-    return spark.read.parquet(f"{table}/v={read_versions(spark, table)[-1]}").where("not deleted").drop("deleted")
+def read_state(spark, table: str, key: Sequence[str], schema) -> DataFrame:
+    """The live rows of a state table; none while it is empty."""
+    return KeyedTable(spark, table, key, schema).rows().where("not deleted").drop("deleted")
 
 
-def correlate_stream(events: DataFrame, facilities: str, out: str, checkpoint: str, now: datetime, every: str | None = None) -> StreamingQuery:
-    """Impact candidates of each batch of events with the facilities as they are when the batch is processed."""
+def correlate_stream(events: DataFrame, facilities: str, facility_schema, out: str, checkpoint: str, clock: Clock = system_clock, every: str | None = None) -> StreamingQuery:
+    """Impact candidates of each batch of events with the facilities as they are when the batch is processed; none while no
+    facility is known."""
 
     def write(batch: DataFrame, number: int) -> None:
-        known = read_state(batch.sparkSession, facilities).select("facility_id", "supplier_id", "latitude", "longitude")
-        correlate.correlate(batch, known, now).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        known = read_state(batch.sparkSession, facilities, ["facility_id"], facility_schema).select("facility_id", "supplier_id", "latitude", "longitude")
+        correlate.correlate(batch, known, clock()).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return _start(events.writeStream.foreachBatch(write), checkpoint, every)
 
@@ -124,10 +130,18 @@ def ledger_stream(messages: DataFrame, ledger: EventLedger, checkpoint: str, eve
     return _start(messages.writeStream.foreachBatch(lambda batch, number: ledger.apply(batch, number) and None), checkpoint, every)
 
 
-def statement_set(queries: Sequence[StreamingQuery]) -> None:
-    """Wait for several queries that were started side by side; the first failure is raised."""
-    for q in queries:
-        q.awaitTermination()
+def statement_set(queries: Sequence[StreamingQuery], poll_s: float = 0.2) -> None:
+    """Wait for several queries that were started side by side. If one fails, the others are stopped and its failure is raised."""
+    left = list(queries)
+    try:
+        while left:
+            for q in list(left):
+                if q.awaitTermination(poll_s):  # raises what the query failed of
+                    left.remove(q)
+    except BaseException:
+        for q in left:
+            q.stop()
+        raise
 
 
 def lag_metrics(events: DataFrame, name: str = "event_time_lag") -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.operators import asof, changefeed, feed, history, references
-from strandline.operators.sliced import DAY_US
+from strandline.operators.sliced import DAY_US, slice_width
 from tests.feeds import SCHEMA, changes, random_feed
 
 SEEDS = [1, 2, 3]
@@ -18,16 +18,16 @@ def state_at(own, t):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("cuts", [[], [1_768_000_000_000_000, 1_770_000_000_000_000, 1_771_000_000_000_000, 1_771_500_000_000_000, 1_772_000_000_000_000]])
-def test_newest_first(spark, seed, cuts):
+@pytest.mark.parametrize(("days", "steps"), [(45, 3), (7, 2), (7, 20), (400, 0)])
+def test_newest_first(spark, seed, days, steps):
     rows = random_feed(seed)
-    got = {(r.key, r.seq) for r in changefeed.current_rows(frame(spark, rows), "k", cuts).collect()}
-    assert got == {(k, c[-1][1]) for k, c in changes(rows).items() if c[-1][2]}
+    got = sorted((r.key, r.seq) for r in changefeed.current_rows(frame(spark, rows), "k", (), days * DAY_US, steps).collect())
+    assert got == sorted((k, c[-1][1]) for k, c in changes(rows).items() if c[-1][2])
 
 
 def test_newest_first_keeps_tombstones_and_values(spark):
     rows = random_feed(9)
-    got = {r.key: (r.seq, r.v if r.live else None, r.live) for r in changefeed.newest_first(frame(spark, rows), "k", [1_770_000_000_000_000], ["v"]).collect()}
+    got = {r.key: (r.seq, r.v if r.live else None, r.live) for r in changefeed.newest_first(frame(spark, rows), "k", ["v"], 10 * DAY_US).collect()}
     assert got == {k: (c[-1][1], c[-1][3] if c[-1][2] else None, c[-1][2]) for k, c in changes(rows).items()}
 
 
@@ -37,6 +37,7 @@ def test_orphans(spark, seed):
     refs = [references.Reference("child", "parent", "top"), references.Reference("child", "k", "top")]
     feeds = {"child": frame(spark, children), "top": frame(spark, parents)}
     got = sorted((r.field, r.seq, r.kind) for r in references.orphan_references(feeds, {"top": "k"}, refs).collect())
+    assert got == sorted((r.field, r.seq, r.kind) for r in references.orphan_references(feeds, {"top": "k"}, refs, DAY_US).collect())
     own = changes(parents)
     want = []
     for r in children:
@@ -80,7 +81,7 @@ def ledger_by_hand(own):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("width", [DAY_US, 30 * DAY_US])
+@pytest.mark.parametrize("width", [0, DAY_US, 30 * DAY_US])
 def test_ledger(spark, seed, width):
     rows = random_feed(seed)
     ledger = history.bitemporal_ledger(history.attribute_changes(frame(spark, rows), "t", "k", "v"), width).collect()
@@ -98,10 +99,11 @@ def test_ledger_of_a_history_that_arrives_backwards(spark):
     assert history.believed_at(ledger, 90).count() == 10
 
 
+@pytest.mark.parametrize("width", [0, DAY_US])
 @pytest.mark.parametrize("seed", SEEDS)
-def test_versions(spark, seed):
+def test_versions(spark, seed, width):
     rows = random_feed(seed)
-    got = sorted((r.entity_id, r.valid_from_us, r.valid_to_us) for r in history.attribute_history([(frame(spark, rows), "t", "k", "v")], DAY_US).collect())
+    got = sorted((r.entity_id, r.valid_from_us, r.valid_to_us) for r in history.attribute_history([(frame(spark, rows), "t", "k", "v")], width).collect())
     want = []
     for key, own in changes(rows).items():
         turns = [c for i, c in enumerate(own) if i == 0 or (own[i - 1][2], own[i - 1][3] if own[i - 1][2] else None) != (c[2], c[3] if c[2] else None)]
@@ -109,12 +111,13 @@ def test_versions(spark, seed):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("width", [0, DAY_US])
 @pytest.mark.parametrize("seed", SEEDS)
-def test_asof(spark, seed, monkeypatch):
+def test_asof(spark, seed, width):
     rows = random_feed(seed)
     versions = feed.distinct_changes(frame(spark, rows), "k").withColumnRenamed("key", "entity")
     events = [(f"e{i}", r[3], (r[2] or 0) * 1000) for i, r in enumerate(random_feed(seed + 7))] + [("none", "hot", None), ("same", "hot", changes(rows)["hot"][3][0])]
-    got = sorted((r.id, r.seq, r.live) for r in asof.asof_versions(spark.createDataFrame(events, "id string, entity string, t long"), versions, DAY_US).collect())
+    got = sorted((r.id, r.seq, r.live) for r in asof.asof_versions(spark.createDataFrame(events, "id string, entity string, t long"), versions, width).collect())
     own = changes(rows)
     want = []
     for i, key, t in events:
@@ -139,7 +142,7 @@ def test_asof_in_blocks():
 
 def test_empty_feeds(spark):
     none = frame(spark, [])
-    assert changefeed.current_rows(none, "k", [5]).count() == 0
+    assert changefeed.current_rows(none, "k").count() == 0
     assert history.attribute_history([(none, "t", "k", "v"), (none, "u", "k", "w")]).count() == 0
     assert references.orphan_references({"a": none, "b": none}, {"b": "k"}, [references.Reference("a", "parent", "b")]).count() == 0
     versions = feed.distinct_changes(none, "k").withColumnRenamed("key", "entity")
@@ -151,3 +154,15 @@ def test_double_attribute(spark):
     rows = [(1, "c", 0, "k", None, None, 0.0, "2026-01-01T00:00:00Z", "", "", ""), (2, "u", 0, "k", None, None, -0.0, "2026-01-02T00:00:00Z", "", "", ""), (3, "u", 0, "k", None, None, 0.25, "2026-01-03T00:00:00Z", "", "", "")]
     got = history.attribute_history([(frame(spark, rows), "t", "k", "w")]).orderBy("valid_from_us").select("value", (F.col("valid_to_us") == -1).alias("o")).collect()
     assert [tuple(r) for r in got] == [("0.0", False), ("0.25", True)]
+
+
+def test_slices_follow_the_amount_of_data(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100_000).selectExpr("uuid() AS k", "id AS at").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert slice_width(df) == 0 and slice_width(df, widest=7) == 7
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # a third of the table in 100 slices
+    assert abs(slice_width(df, span=100_000, slice_bytes=size // 300) - 1000) <= 10
+    assert slice_width(df, span=100_000, widest=500, slice_bytes=size // 300) == 500
+    assert slice_width(df, span=10, slice_bytes=1) == 1
