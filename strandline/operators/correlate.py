@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.geo import EARTH_RADIUS_KM, QUAKE_RADII, cell_of, cell_width, cells_between, geo_score, haversine_km, impact_radius_km, valid_position
 from strandline.functions.text import impact_id
+from strandline.operators.proximity import points_in_regions
 from strandline.operators.sliced import Carry, slice_width, sliced, with_carried
 
 #: arrivals of one slice of a facility's updates
@@ -119,3 +120,21 @@ def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float)
     left = events.select("event_id", F.col("payload.latitude").alias("event_latitude"), F.col("payload.longitude").alias("event_longitude"))
     right = facilities.select("facility_id", F.col("latitude").alias("asset_latitude"), F.col("longitude").alias("asset_longitude"))
     return cell_join(left, right, *AT, (radius_km,), F.lit(radius_km)).select("event_id", "facility_id", "distance_km")
+
+
+def correlate_regions(events: DataFrame, facilities: DataFrame, now: datetime) -> DataFrame:
+    """Candidates of each flood of alert red with each facility in its region; they have no distance and no radius, and the score 1.
+
+    events: as correlate takes them, with `alert` and `region` - a struct of rlon and edges as proximity.points_in_regions takes
+    them; unique event_id. Facilities on the region's border are in it.
+    """
+    floods = events.where("event_type = 'flood' and lower(alert) = 'red' and region is not null")
+    inside = points_in_regions(
+        facilities.select(F.col("facility_id").alias("pid"), F.col("latitude").alias("plat"), F.col("longitude").alias("plon")),
+        floods.select(F.col("event_id").alias("rid"), F.col("region.rlon").alias("rlon"), F.col("region.edges").alias("edges")),
+    ).select(F.col("rid").alias("event_id"), F.col("pid").alias("asset_id"))
+    own = [c for c in ("event_id", "source", "source_event_id", "event_type", "event_time", "trace_id", "tenant_id", "seq") if c in events.columns]
+    left = floods.select(*own, F.col("payload.severity").alias("severity"), F.col("payload.latitude").alias("event_latitude"), F.col("payload.longitude").alias("event_longitude"))
+    right = facilities.select(F.col("facility_id").alias("asset_id"), "supplier_id", F.col("latitude").alias("asset_latitude"), F.col("longitude").alias("asset_longitude"))
+    met = inside.join(left, "event_id").join(right, "asset_id").withColumns({"distance_km": F.lit(None).cast("double"), "radius_km": F.lit(None).cast("double")})
+    return _candidates(met, now).withColumns({"inside_affected_area": F.lit(True), "geospatial_score": F.lit(1.0)})

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions.text import inventory_days_remaining
+
 
 def active_shipments(shipments: DataFrame) -> DataFrame:
     """Shipments under way: neither delivered nor cancelled; a null status doesn't count as under way."""
@@ -29,6 +31,49 @@ def feature_build(impacts: DataFrame, suppliers: DataFrame, orders: DataFrame, s
     return out.fillna(0, ["open_order_value", "open_order_count", "active_shipment_count", "active_shipment_value", "source_confirmation_count"])
 
 
+def stock_exposure(shipments: DataFrame, orders: DataFrame, inventory: DataFrame) -> DataFrame:
+    """(asset_id, inventory_days_remaining, products) of each facility with active shipments: the fewest days that the stock of a
+    product under way lasts in the warehouse it goes to, and the number of different products under way. Null days where no
+    stock is known.
+
+    shipments: status, origin_facility_id, purchase_order_id, destination_warehouse_id; orders: purchase_order_id, product_id;
+    inventory: warehouse_id, product_id, quantity_on_hand, average_daily_usage. Equal (facility, product, warehouse) are
+    collapsed before the stock is joined.
+    """
+    product = orders.select("purchase_order_id", "product_id").where("product_id is not null")
+    moving = active_shipments(shipments).select(F.col("origin_facility_id").alias("asset_id"), "purchase_order_id", F.col("destination_warehouse_id").alias("warehouse_id")).where("asset_id is not null")
+    goods = moving.join(product, "purchase_order_id").select("asset_id", "product_id", "warehouse_id").distinct()
+    days = inventory.select("warehouse_id", "product_id", inventory_days_remaining(F.col("quantity_on_hand"), F.col("average_daily_usage")).alias("_days"))
+    held = goods.join(days, ["warehouse_id", "product_id"], "left").groupBy("asset_id", "product_id").agg(F.min("_days").alias("_days"))
+    return held.groupBy("asset_id").agg(F.min("_days").alias("inventory_days_remaining"), F.count("*").alias("products"))
+
+
+def alternative_suppliers(orders: DataFrame) -> DataFrame:
+    """(supplier_id, alternative_supplier_count) of suppliers with open orders: over the products ordered of it, the fewest other
+    suppliers of whom the same product is on order. orders: status, supplier_id, product_id."""
+    pairs = orders.where("status = 'open' and supplier_id is not null and product_id is not null").select("supplier_id", "product_id").distinct()
+    others = pairs.groupBy("product_id").agg((F.count("*") - 1).alias("_others"))
+    return pairs.join(others, "product_id").groupBy("supplier_id").agg(F.min("_others").alias("alternative_supplier_count"))
+
+
+def inventory_exposure(inventory: DataFrame, most_days: float, limit: int = 50) -> DataFrame:
+    """The stock that lasts at most most_days, the shortest first, at most `limit` rows; ties by warehouse and product."""
+    rows = inventory.withColumn("days", inventory_days_remaining(F.col("quantity_on_hand"), F.col("average_daily_usage"))).where(F.col("days") <= most_days)
+    return rows.orderBy("days", "warehouse_id", "product_id").limit(limit).select("warehouse_id", "product_id", "days")
+
+
+def open_orders(orders: DataFrame, suppliers: DataFrame, limit: int = 50) -> DataFrame:
+    """The open orders of the suppliers (supplier_id), the most urgent first, at most `limit`; orders without a date come last."""
+    own = orders.where("status = 'open'").join(suppliers.select("supplier_id").distinct(), "supplier_id", "left_semi")
+    return own.select("purchase_order_id", "supplier_id", "required_by_date").orderBy(F.col("required_by_date").asc_nulls_last(), "purchase_order_id").limit(limit)
+
+
+def top_factors(parts: dict[str, Column], k: int) -> Column:
+    """The k greatest contributions as an array of (feature, contribution), the greatest first; ties by name, nulls left out."""
+    named = F.array_compact(F.array(*[F.when(c.isNotNull(), F.struct((-c).alias("order"), F.lit(n).alias("feature"), c.alias("contribution"))) for n, c in sorted(parts.items())]))
+    return F.transform(F.slice(F.sort_array(named), 1, k), lambda x: F.struct(x["feature"].alias("feature"), x["contribution"].alias("contribution")))
+
+
 def shipment_ids(impacts: DataFrame, shipments: DataFrame) -> DataFrame:
     """(impact_id, shipment_id) of the active shipments from the facility of each impact: one row each instead of one list."""
     moving = active_shipments(shipments).select(F.col("origin_facility_id").alias("asset_id"), "shipment_id")

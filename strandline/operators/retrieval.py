@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,50 +26,83 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def chunks(docs: DataFrame, most: int = 500, overlap: int = 50) -> DataFrame:
-    """(doc_id, chunk_no, chunk_id, content, n_words, content_hash) of whole texts.
+#: scripts without spaces: each character is a word of its own
+_UNSPACED = "\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f"
+_ATOM = re.compile(rf"([{_UNSPACED}]|[^\s{_UNSPACED}]+)(\s*)")
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
+
+
+def atoms(text: str) -> list[tuple[str, int]]:
+    """Words, and characters where the script has no spaces, each with what follows it (a blank or nothing) and an estimate of its
+    tokens under a byte-level vocabulary: one for up to six plain letters, two for each five of longer words; one for each digit or
+    sign, and for one and a half bytes of other characters."""
+    out = []
+    for m in _ATOM.finditer(text):
+        word = m.group(1)
+        letters = sum(1 for c in word if "a" <= c <= "z" or "A" <= c <= "Z")
+        others = sum(len(c.encode("utf-8", "surrogatepass")) for c in word if c > "\x7f")
+        signs = sum(1 for c in word if c <= "\x7f") - letters
+        out.append((word + (" " if m.group(2) else ""), max(1, (min(letters, 1) if letters <= 6 else -(-letters * 2 // 5)) + signs + -(-others * 2 // 3))))
+    return out
 
-    Sentences are gathered up to `most` words and never cut, unless one alone is longer: that one is cut at `most` words. A chunk
-    starts with the last sentences of the one before, up to `overlap` words. The title, if there is a column of that name,
-    goes in front. Null and blank texts have no chunks.
-    """
-    import re
 
-    end = re.compile(r"(?<=[.!?。])\s+|\n+")
+def chunks(docs: DataFrame, most: int = 480, overlap: int = 50) -> DataFrame:
+    """(doc_id, chunk_no, chunk_id, content, n_tokens, content_hash) of whole texts.
+
+    Sentences are gathered up to `most` tokens, as `atoms` estimates them, and never cut, unless one alone is longer: that one is
+    cut between words, or between characters where the script has no spaces. A chunk starts with the last sentences of the
+    one before, up to `overlap` tokens. The title, if there is a column of that name, goes in front and counts. Null and blank
+    texts have no chunks.
+    """
     has_title = "title" in docs.columns
 
+    def runs(text: str, room: int) -> list[list[tuple[str, int]]]:
+        parts = []
+        for sentence in _SENTENCE_END.split(text):
+            part, size = [], 0
+            for atom in atoms(sentence):
+                if part and size + atom[1] > room:
+                    parts.append(part)
+                    part, size = [], 0
+                part.append(atom)
+                size += atom[1]
+            if part:
+                parts.append(part)
+        return parts
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for doc, text, title in zip(pdf["doc_id"], pdf["text"], pdf["title"], strict=True):
-                parts: list[list[str]] = []
-                for sentence in end.split(text):
-                    words = sentence.split()
-                    parts += [words[i : i + most] for i in range(0, len(words), most)]
-                held: list[list[str]] = []
+                head = f"{title}\n" if title else ""
+                own = min(sum(n for _, n in atoms(head)), most // 2)
+                room = most - own
+                held: list[tuple[str, int]] = []  # sentences as text and tokens
                 size, number, fresh = 0, 0, False
-                for part in [*parts, None]:
-                    if part is None or size + len(part) > most:
+                for part in [*runs(text, room), None]:
+                    tokens_ = sum(n for _, n in part) if part else 0
+                    if part is None or size + tokens_ > room:
                         if fresh:
-                            out.append((doc, number, (f"{title}\n" if title else "") + " ".join(w for s in held for w in s), size))
+                            out.append((doc, number, head + " ".join(s.strip() for s, _ in held), size + own))
                             number += 1
-                        kept: list[list[str]] = []
-                        room = min(overlap, most - len(part)) if part else 0
+                        kept: list[tuple[str, int]] = []
+                        left = min(overlap, room - tokens_)
                         for s in reversed(held):
-                            if sum(map(len, kept)) + len(s) > room:
+                            if s[1] > left:
                                 break
                             kept.insert(0, s)
-                        held, size, fresh = kept, sum(map(len, kept)), False
+                            left -= s[1]
+                        held, size, fresh = kept, sum(n for _, n in kept), False
                     if part:
-                        held.append(part)
-                        size += len(part)
+                        held.append(("".join(w for w, _ in part), tokens_))
+                        size += tokens_
                         fresh = True
-            yield pd.DataFrame(out, columns=["doc_id", "chunk_no", "content", "n_words"])
+            yield pd.DataFrame(out, columns=["doc_id", "chunk_no", "content", "n_tokens"])
 
     texts = docs.where("text is not null").select("doc_id", "text", (F.col("title") if has_title else F.lit(None).cast("string")).alias("title"))
-    rows = texts.mapInPandas(cut, "doc_id bigint, chunk_no int, content string, n_words int")
+    rows = texts.mapInPandas(cut, "doc_id bigint, chunk_no int, content string, n_tokens int")
     chunk_id = F.format_string("%d::v1::chunk-%04d", "doc_id", "chunk_no")
-    return rows.select("doc_id", "chunk_no", chunk_id.alias("chunk_id"), "content", "n_words", F.sha2("content", 256).alias("content_hash"))
+    return rows.select("doc_id", "chunk_no", chunk_id.alias("chunk_id"), "content", "n_tokens", F.sha2("content", 256).alias("content_hash"))
 
 
 def unembedded(chunk_rows: DataFrame, done: DataFrame, model: str) -> DataFrame:
@@ -207,3 +241,19 @@ def citation_problems(claims: DataFrame, evidence: DataFrame, context: DataFrame
     known = cited.join(evidence.select("evidence_id", "is_active"), "evidence_id", "left").join(context.select("evidence_id").distinct().withColumn("_given", F.lit(True)), "evidence_id", "left")
     problem = F.when(F.col("evidence_id").isNull(), "no_evidence").when(F.col("is_active").isNull(), "unknown").when(F.col("_given").isNull(), "not_in_context").when(~F.col("is_active"), "inactive")
     return known.select("claim_id", "evidence_id", problem.alias("problem")).where("problem is not null")
+
+
+def number_problems(claims: DataFrame, facts: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """(claim_id, fact_id, problem) of claims (claim_id, fact_id, value): unknown - no such fact -, missing - a null on either side -,
+    or mismatch - off by more than `tolerance` of the fact (fact_id, value)."""
+    known = claims.join(facts.select("fact_id", F.col("value").alias("_fact"), F.lit(True).alias("_there")), "fact_id", "left")
+    off = F.abs(F.col("value") - F.col("_fact")) > tolerance * F.greatest(F.lit(1.0), F.abs("_fact"))
+    problem = F.when(F.col("_there").isNull(), "unknown").when(F.col("value").isNull() | F.col("_fact").isNull(), "missing").when(off, "mismatch")
+    return known.select("claim_id", "fact_id", problem.alias("problem")).where("problem is not null")
+
+
+def policy_problems(answers: DataFrame, tenant: str) -> DataFrame:
+    """(answer_id, problem) of answers (answer_id, text, tenant_id): email or phone in the text, or other_tenant."""
+    email, phone = F.col("text").rlike(r"[\w.+-]+@[\w-]+\.[\w.]+"), F.col("text").rlike(r"\+\d[\d ()-]{7,}\d")
+    cases = F.array_compact(F.array(F.when(email, F.lit("email")), F.when(phone, F.lit("phone")), F.when(F.col("tenant_id") != tenant, F.lit("other_tenant"))))
+    return answers.select("answer_id", F.explode(cases).alias("problem"))

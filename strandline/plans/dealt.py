@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators import asof, changefeed, feed, history, late_events, proximity, references
@@ -65,6 +65,29 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return near.select(F.col("left_id").alias("event_id"), F.col("right_id").alias("facility_id"))
 
 
+#: Half widths in degrees of the region around an epicentre and of the hole in its middle.
+REGION_DEG, HOLE_DEG = 0.08, 0.03
+
+
+def _rings(lat: str) -> Column:
+    """A diamond around a latitude with a diamond-shaped hole, longitudes relative to its middle."""
+
+    def ring(r: float) -> list[Column]:
+        at = [(F.lit(x * r), F.col(lat) + y * r) for x, y in ((1.0, 0.0), (0.0, 1.0), (-1.0, 0.0), (0.0, -1.0))]
+        return [F.struct(a[0].alias("x0"), a[1].alias("y0"), b[0].alias("x1"), b[1].alias("y1")) for a, b in zip(at, at[1:] + at[:1], strict=True)]
+
+    return F.array(*ring(REGION_DEG), *ring(HOLE_DEG))
+
+
+def p3_regions(spark: SparkSession, root: str) -> DataFrame:
+    """The facilities in the region around each epicentre but not in its hole; regions may lie across the antimeridian."""
+    at = table(spark, root, "impact_candidates").select(F.col("event_latitude").alias("lat"), F.col("event_longitude").alias("rlon")).distinct()
+    regions = at.select(F.struct("lat", "rlon").alias("rid"), "rlon", _rings("lat").alias("edges"))
+    live = feed.current_image(table(spark, root, "facilities_cdc"), "facility_id", ["latitude", "longitude"])
+    found = proximity.points_in_regions(live.select(F.col("key").alias("pid"), F.col("latitude").alias("plat"), F.col("longitude").alias("plon")), regions)
+    return found.select(F.col("rid.lat").alias("event_latitude"), F.col("rid.rlon").alias("event_longitude"), F.col("pid").alias("facility_id"))
+
+
 def _attributes(spark: SparkSession, root: str) -> list[tuple[DataFrame, str, str, str]]:
     return [(table(spark, root, n), n, KEYS[n], a) for n, a in (("facilities_cdc", "status"), ("suppliers_cdc", "criticality_score"))]
 
@@ -94,7 +117,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return known.select(F.col("id").alias("event_id"), F.col("entity").alias("asset_id"), "seq")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_daily, p2_revisions, p3_found, p4_found, p4_ledger, p5_found, p7_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_daily, p2_revisions, p3_found, p3_regions, p4_found, p4_ledger, p5_found, p7_found)}
 
 
 _CHANGES = {
@@ -125,6 +148,15 @@ e AS (SELECT k, eff, live, coalesce(lead(eff) OVER (PARTITION BY k ORDER BY eff)
 SELECT k AS entity_id, eff AS valid_from_us, till AS valid_to_us FROM e WHERE live)"""
 
 
+def _ledger_sql(name: str, attribute: str) -> str:
+    """A change ends, when it arrives, at the nearest later effect that arrived before; each nearer one that arrives cuts it again."""
+    return f"""SELECT '{name}' AS table_name, * FROM (
+WITH c AS (SELECT k, eff, min(seq) AS s, bool_or(live) AS live, arg_min(struct_pack(x := v), seq).x AS v FROM ({_CHANGES[name].format(cols=f'{attribute} AS v,')}) WHERE eff IS NOT NULL GROUP BY k, eff),
+p AS (SELECT i.k, i.eff, i.s, j.eff AS je, j.s AS js, min(j.eff) OVER (PARTITION BY i.k, i.eff ORDER BY j.s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS near FROM c i JOIN c j ON i.k = j.k AND j.eff > i.eff),
+b AS (SELECT c.k, c.eff, c.s AS rf, coalesce(min(je) FILTER (js < c.s), -1) AS vt FROM c LEFT JOIN p ON p.k = c.k AND p.eff = c.eff GROUP BY ALL UNION ALL SELECT k, eff, js, je FROM p WHERE js > s AND (near IS NULL OR je < near))
+SELECT b.k AS key, CASE WHEN live THEN CAST(v AS VARCHAR) END AS value, live, b.eff AS valid_from, vt AS valid_to, rf AS recorded_from, coalesce(lead(rf) OVER (PARTITION BY b.k, b.eff ORDER BY rf), -1) AS recorded_to FROM b JOIN c ON c.k = b.k AND c.eff = b.eff)"""
+
+
 def _state_sql(name: str) -> str:
     return f"""SELECT '{name}' AS table_name, k AS entity_id, seq FROM (
 SELECT *, row_number() OVER (PARTITION BY k ORDER BY eff DESC, seq) AS n FROM ({_CHANGES[name].format(cols='')}) WHERE eff IS NOT NULL) WHERE n = 1 AND live"""
@@ -146,7 +178,12 @@ e AS (SELECT DISTINCT event_id, event_latitude AS ea, event_longitude AS eo FROM
 c AS (SELECT *, cos(radians(la)) * cos(radians(lo)) AS x, cos(radians(la)) * sin(radians(lo)) AS y, sin(radians(la)) AS z FROM f),
 q AS (SELECT *, cos(radians(ea)) * cos(radians(eo)) AS u, cos(radians(ea)) * sin(radians(eo)) AS v, sin(radians(ea)) AS w FROM e)
 SELECT DISTINCT event_id, facility_id FROM q JOIN c ON la BETWEEN ea - 0.05 AND ea + 0.05 AND 2 * 6371.0088 * asin(least(1, sqrt((x - u) ** 2 + (y - v) ** 2 + (z - w) ** 2) / 2)) <= {NEAR_KM}""",
+    "p3_regions": f"""WITH f AS (SELECT k AS facility_id, latitude AS la, longitude AS lo FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY eff DESC, seq) AS n FROM ({_CHANGES['facilities_cdc'].format(cols='latitude, longitude,')}) WHERE eff IS NOT NULL) WHERE n = 1 AND live AND abs(latitude) <= 90 AND abs(longitude) <= 180),
+e AS (SELECT DISTINCT event_latitude, event_longitude FROM impact_candidates WHERE event_latitude IS NOT NULL AND event_longitude IS NOT NULL),
+j AS (SELECT *, abs(la - event_latitude) + least(abs(lo - event_longitude), 360 - abs(lo - event_longitude)) AS d FROM e JOIN f ON la BETWEEN event_latitude - {REGION_DEG} AND event_latitude + {REGION_DEG})
+SELECT event_latitude, event_longitude, facility_id FROM j WHERE d <= {REGION_DEG} AND d >= {HOLE_DEG}""",
     "p4_found": _history_sql("facilities_cdc", "status") + " UNION ALL " + _history_sql("suppliers_cdc", "criticality_score"),
+    "p4_ledger": _ledger_sql("facilities_cdc", "status") + " UNION ALL " + _ledger_sql("suppliers_cdc", "criticality_score"),
     "p5_found": _state_sql("facilities_cdc") + " UNION ALL " + _state_sql("shipments_cdc"),
     "p7_found": f"""WITH c AS (SELECT k, eff, min(seq) AS seq, bool_or(live) AS live FROM ({_CHANGES['facilities_cdc'].format(cols='')}) WHERE eff IS NOT NULL GROUP BY k, eff),
 e AS (SELECT DISTINCT event_id, asset_id, epoch_us(event_time) AS t FROM impact_candidates WHERE event_id IS NOT NULL)

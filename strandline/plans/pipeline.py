@@ -254,15 +254,32 @@ def cdc_tombstones(spark, root):
     return out
 
 
-@query("SELECT purchase_order_id, op = 'd' AS deleted, CASE WHEN op <> 'd' THEN status END AS status, CASE WHEN op <> 'd' THEN quantity END AS quantity, seq FROM purchase_orders_cdc WHERE op IN ('c', 'r', 'u', 'd')")
+_IMAGES = {"suppliers_cdc": "status", "facilities_cdc": "status", "purchase_orders_cdc": "status", "shipments_cdc": "status"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n.removesuffix('_cdc')}' AS table_name, {KEYS[n]} AS id, op = 'd' AS deleted, CASE WHEN op <> 'd' THEN {c} END AS shown, seq FROM {n} WHERE op IN ('c', 'r', 'u', 'd')" for n, c in _IMAGES.items())
+       + f" UNION ALL SELECT 'inventory', x.warehouse_id || '|' || x.product_id, deleted, CASE WHEN NOT deleted THEN CAST(CAST(quantity_on_hand AS BIGINT) AS VARCHAR) END, seq FROM (WITH {views.STOCK_SQL} SELECT *, false AS deleted, 1 AS seq FROM stock UNION ALL SELECT *, true, 2 FROM stock WHERE average_daily_usage < 0) x")
 def cdc_op(spark, root):
-    from strandline.schemas import PURCHASE_ORDERS
+    """The change feeds of all five operational tables, written as change messages and read again."""
+    from strandline.schemas import OPERATIONAL
+    from strandline.sources.logs import change_feed
 
-    m = table(spark, root, "purchase_orders_cdc")
-    image = F.struct(*PURCHASE_ORDERS.names)
-    value = F.when(F.col("op").isNotNull(), F.to_json(F.struct(F.when(F.col("op") == "d", image).alias("before"), F.when(F.col("op") != "d", image).alias("after"), "op", "ts_ms")))
-    changes = state.unwrapped(m.select(value.alias("value"), "seq"), PURCHASE_ORDERS, ["purchase_order_id"])
-    return changes.select("purchase_order_id", "deleted", "after.status", "after.quantity", "seq")
+    out = None
+    for name in OPERATIONAL:
+        image, key = OPERATIONAL[name]
+        if name == "inventory":
+            stock = views.warehouse_stock(spark, root).withColumns({"safety_stock": F.lit(None).cast("double"), "updated_at": F.lit(None).cast("string"), "ts_ms": F.lit(0).cast("long")})
+            snapshot = stock.withColumns({"op": F.lit("r"), "seq": F.lit(1).cast("long")})
+            m = snapshot.unionByName(stock.where("average_daily_usage < 0").withColumns({"op": F.lit("d"), "seq": F.lit(2).cast("long")}))
+        else:
+            m = table(spark, root, f"{name}_cdc")
+        row = F.struct(*image.names)
+        value = F.when(F.col("op").isNotNull(), F.to_json(F.struct(F.when(F.col("op") == "d", row).alias("before"), F.when(F.col("op") != "d", row).alias("after"), "op", "ts_ms")))
+        shown = F.col("after.quantity_on_hand").cast("long").cast("string") if name == "inventory" else F.col("after.status")
+        one = change_feed(m.select(value.alias("value"), F.col("seq").cast("long").alias("seq")), name)
+        one = one.select(F.lit(name).alias("table_name"), F.concat_ws("|", *key).alias("id"), "deleted", shown.alias("shown"), "seq")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(f"SELECT '{{\"supplier_id\":\"' || supplier_id || '\"}}' AS key, CASE WHEN op <> 'd' THEN '{{\"supplier_id\":\"' || supplier_id || '\",\"status\":' || coalesce('\"' || status || '\"', 'null') || '}}' END AS value FROM {_last_sql('suppliers_cdc')}")
@@ -404,6 +421,46 @@ def order_ids(spark, root):
     return features.order_ids(_latest_impacts(spark, root), _state(spark, root, "purchase_orders_cdc", "supplier_id", "status"))
 
 
+_DAYS = "CASE WHEN average_daily_usage <= 0 THEN 'inf'::DOUBLE ELSE quantity_on_hand / average_daily_usage END"
+
+
+@query(f"""WITH {views.STOCK_SQL}, g AS (SELECT DISTINCT origin_facility_id AS asset_id, o.product_id, s.destination_warehouse_id AS warehouse_id FROM {_last_sql('shipments_cdc')} s JOIN {_last_sql('purchase_orders_cdc')} o USING (purchase_order_id)
+WHERE s.op <> 'd' AND o.op <> 'd' AND s.status NOT IN ('delivered', 'cancelled') AND origin_facility_id IS NOT NULL AND o.product_id IS NOT NULL)
+SELECT asset_id, round(min({_DAYS}), 6) AS inventory_days_remaining, count(DISTINCT product_id) AS products FROM g LEFT JOIN stock USING (warehouse_id, product_id) GROUP BY 1""")
+def feature_join_chain(spark, root):
+    """Facility, active shipments, their orders, the products and the stock where they go."""
+    shipments = _state(spark, root, "shipments_cdc", "status", "origin_facility_id", "purchase_order_id", "destination_warehouse_id")
+    out = features.stock_exposure(shipments, _state(spark, root, "purchase_orders_cdc", "product_id"), views.warehouse_stock(spark, root))
+    return out.withColumn("inventory_days_remaining", F.round("inventory_days_remaining", 6))
+
+
+@query(f"""WITH p AS (SELECT DISTINCT supplier_id, product_id FROM {_last_sql('purchase_orders_cdc')} WHERE op <> 'd' AND status = 'open' AND supplier_id IS NOT NULL AND product_id IS NOT NULL)
+SELECT supplier_id, min(n - 1) AS alternative_supplier_count FROM p JOIN (SELECT product_id, count(*) AS n FROM p GROUP BY 1) USING (product_id) GROUP BY 1""")
+def alternative_suppliers(spark, root):
+    return features.alternative_suppliers(_state(spark, root, "purchase_orders_cdc", "supplier_id", "status", "product_id"))
+
+
+@query(f"WITH {views.STOCK_SQL} SELECT warehouse_id, product_id, round(quantity_on_hand / average_daily_usage, 6) AS days FROM stock WHERE average_daily_usage > 0 AND quantity_on_hand / average_daily_usage <= 15 ORDER BY quantity_on_hand / average_daily_usage, warehouse_id, product_id LIMIT 50")
+def inventory_exposure(spark, root):
+    return features.inventory_exposure(views.warehouse_stock(spark, root), 15.0).withColumn("days", F.round("days", 6))
+
+
+@query(f"SELECT purchase_order_id, supplier_id, required_by_date FROM {_last_sql('purchase_orders_cdc')} WHERE op <> 'd' AND status = 'open' AND supplier_id IN (SELECT supplier_id FROM impact_candidates) ORDER BY required_by_date NULLS LAST, purchase_order_id LIMIT 50")
+def open_orders(spark, root):
+    return features.open_orders(_state(spark, root, "purchase_orders_cdc", "supplier_id", "status", "required_by_date"), table(spark, root, "impact_candidates"))
+
+
+@query("""WITH f AS (SELECT impact_id, event_id, unnest([struct_pack(feature := 'distance', c := round(0.15 * geospatial_score, 9)), struct_pack(feature := 'severity', c := round(0.02 * severity, 9)), struct_pack(feature := 'spread', c := round(0.001 * radius_km, 9))]) AS x FROM (SELECT impact_id, event_id, max(geospatial_score) AS geospatial_score, max(severity) AS severity, max(radius_km) AS radius_km FROM impact_candidates GROUP BY ALL)),
+r AS (SELECT impact_id, event_id, x.feature AS feature, x.c AS contribution, row_number() OVER (PARTITION BY impact_id, event_id ORDER BY x.c DESC, x.feature) AS n FROM f WHERE x.c IS NOT NULL)
+SELECT impact_id, event_id, feature, contribution FROM r WHERE n <= 2""")
+def top_factors(spark, root):
+    """The two greatest of three contributions to a score."""
+    i = table(spark, root, "impact_candidates").groupBy("impact_id", "event_id").agg(*[F.max(c).alias(c) for c in ("geospatial_score", "severity", "radius_km")])
+    parts = {"distance": 0.15 * F.col("geospatial_score"), "severity": 0.02 * F.col("severity"), "spread": 0.001 * F.col("radius_km")}
+    best = features.top_factors({n: F.round(c, 9) for n, c in parts.items()}, 2)
+    return i.select("impact_id", "event_id", F.inline(best))
+
+
 @query(f"SELECT shipment_id, supplier_id, shipment_value FROM {_last_sql('shipments_cdc')} WHERE op <> 'd' AND status NOT IN ('delivered', 'cancelled') AND origin_facility_id IN (SELECT asset_id FROM impact_candidates) ORDER BY shipment_value DESC NULLS LAST, shipment_id LIMIT 50")
 def affected_shipments(spark, root):
     return features.affected_shipments(table(spark, root, "impact_candidates"), _state(spark, root, "shipments_cdc", "supplier_id", "status", "origin_facility_id", "shipment_value"), 50)
@@ -569,6 +626,22 @@ def validate_citations(spark, root):
     return retrieval.citation_problems(claims, evidence, context).distinct()
 
 
+@query(f"""WITH i AS (SELECT DISTINCT impact_id AS claim_id, event_id AS fact_id, severity AS value FROM impact_candidates), f AS (SELECT event_id AS fact_id, max(payload.severity) AS fact FROM events_normalized GROUP BY 1)
+SELECT claim_id, i.fact_id, CASE WHEN f.fact_id IS NULL THEN 'unknown' WHEN value IS NULL OR fact IS NULL THEN 'missing' ELSE 'mismatch' END AS problem FROM i LEFT JOIN f ON i.fact_id = f.fact_id WHERE f.fact_id IS NULL OR value IS NULL OR fact IS NULL OR abs(value - fact) > 1e-6 * greatest(1, abs(fact))""")
+def validate_numbers(spark, root):
+    """Severities that impacts claim, held against those of the events."""
+    claims = table(spark, root, "impact_candidates").select(F.col("impact_id").alias("claim_id"), F.col("event_id").alias("fact_id"), F.col("severity").alias("value")).distinct()
+    facts = table(spark, root, "events_normalized").groupBy(F.col("event_id").alias("fact_id")).agg(F.max("payload.severity").alias("value"))
+    return retrieval.number_problems(claims, facts)
+
+
+@query("""WITH d AS (SELECT doc_id AS answer_id, text, CASE WHEN source LIKE '%-wire' THEN 'other' ELSE 'demo' END AS tenant_id FROM documents)
+SELECT answer_id, 'email' AS problem FROM d WHERE regexp_matches(text, '[\\w.+-]+@[\\w-]+\\.[\\w.]+') UNION ALL SELECT answer_id, 'phone' FROM d WHERE regexp_matches(text, '\\+\\d[\\d ()-]{7,}\\d') UNION ALL SELECT answer_id, 'other_tenant' FROM d WHERE tenant_id <> 'demo'""")
+def validate_policy(spark, root):
+    d = table(spark, root, "documents").select(F.col("doc_id").alias("answer_id"), "text", F.when(F.col("source").like("%-wire"), "other").otherwise("demo").alias("tenant_id"))
+    return retrieval.policy_problems(d, "demo")
+
+
 @query("SELECT seq, purchase_order_id FROM shipments_cdc WHERE purchase_order_id IS NOT NULL AND purchase_order_id NOT IN (SELECT purchase_order_id FROM purchase_orders_cdc WHERE op IN ('c', 'r', 'u') AND purchase_order_id IS NOT NULL)")
 def validate_ids(spark, root):
     """Claimed order ids that no order ever had."""

@@ -79,6 +79,20 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
 INVENTORY_SQL = "inv AS (SELECT p_partkey AS product_id, p_size * 10e0 - 30e0 AS quantity_on_hand, (SELECT round(avg(l_quantity), 6) FROM lineitem WHERE l_partkey = p_partkey) AS average_daily_usage FROM part)"
 
 
+def warehouse_stock(spark: SparkSession, root: str) -> DataFrame:
+    """Stock of most products in most warehouses of the operational tables; some products aren't used."""
+    goods = table(spark, root, "purchase_orders_cdc").where("product_id is not null").select("product_id").distinct()
+    houses = table(spark, root, "shipments_cdc").where("destination_warehouse_id is not null").select(F.col("destination_warehouse_id").alias("warehouse_id")).distinct()
+    code = lambda c, at: F.ascii(F.substring(c, at, 1))
+    # a catalogue: both lists are bounded, whatever the number of orders
+    stock = houses.crossJoin(goods).where((code("warehouse_id", 2) + code("product_id", 2)) % 5 != 0)
+    return stock.withColumns({"quantity_on_hand": code("warehouse_id", 1) * F.lit(10.0), "average_daily_usage": code("product_id", 1) - F.lit(50.0)})
+
+
+STOCK_SQL = """stock AS (SELECT warehouse_id, product_id, ascii(substr(warehouse_id, 1, 1)) * 10e0 AS quantity_on_hand, ascii(substr(product_id, 1, 1)) - 50e0 AS average_daily_usage FROM (SELECT DISTINCT destination_warehouse_id AS warehouse_id FROM shipments_cdc WHERE destination_warehouse_id IS NOT NULL),
+(SELECT DISTINCT product_id FROM purchase_orders_cdc WHERE product_id IS NOT NULL) WHERE (ascii(substr(warehouse_id, 2, 1)) + ascii(substr(product_id, 2, 1))) % 5 <> 0)"""
+
+
 def feed_documents(spark: SparkSession, root: str) -> DataFrame:
     """GeoJSON feeds as text, one per user: the events' features, some of them malformed."""
     e = table(spark, root, "events").withColumn("ms", F.unix_millis("ts")).withColumn("k", F.get_json_object("props", "$.k").cast("int"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.schemas import topic_schema
+from strandline.operators import state
+from strandline.schemas import OPERATIONAL, topic_schema
+from strandline.sources import avro
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
@@ -28,9 +30,36 @@ def stream_feeds(spark: SparkSession, folder: str, files_per_trigger: int = 1) -
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder, wholetext=True)
 
 
+#: options of a Kafka sink that writes each record once per batch and waits for all replicas
+PRODUCER = {"kafka.enable.idempotence": "true", "kafka.acks": "all", "kafka.compression.type": "zstd", "kafka.linger.ms": "20"}
+
+
 def kafka_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Values of a Kafka topic from the earliest offset; needs the Kafka connector on the class path."""
-    return spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").load()
+    """The records of a Kafka topic from the earliest offset, decoded by the topic's schema; needs the Kafka connector on the class
+    path, and isn't tested for want of it (`avro.decoded` is)."""
+    raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").load()
+    return avro.decoded(raw, topic_schema(topic))
+
+
+def kafka_sink(rows: DataFrame, servers: str, topic: str, key: str, schema_id: int):
+    """A stream writer of keyed Avro records with headers; needs the Kafka connector (`avro.encoded` is tested without)."""
+    records = avro.encoded(rows, topic_schema(topic), key, schema_id)
+    return records.writeStream.format("kafka").options(**PRODUCER, **{"kafka.bootstrap.servers": servers, "topic": topic, "includeHeaders": "true"})
+
+
+def change_feed(messages: DataFrame, table: str) -> DataFrame:
+    """Changes of an operational table from its change messages (value: JSON, seq): the key columns, deleted, after, ts_ms, seq. A
+    feed starts with a snapshot, whose rows have op r; a message that can't be read fails the query."""
+    image, key = OPERATIONAL[table]
+    return state.unwrapped(messages, image, key)
+
+
+def stream_changes(spark: SparkSession, root: str, table: str, files_per_trigger: int = 1000) -> DataFrame:
+    """The change feed of a table as a stream over <root>/<table> (parquet of value, seq), from the snapshot on; the row's columns at
+    the top, as state tables take them."""
+    messages = spark.readStream.schema("value string, seq long").option("maxFilesPerTrigger", files_per_trigger).parquet(f"{root.rstrip('/')}/{table}")
+    image, key = OPERATIONAL[table]
+    return change_feed(messages, table).select(*key, *[f"after.{c}" for c in image.names if c not in key], "deleted", "seq")
 
 
 def append_keyed(df: DataFrame, path: str, key: str, partition_by: str | None = None) -> None:

@@ -17,7 +17,9 @@ from strandline.config import Settings
 from strandline.operators import correlate, ingest, quality, state
 from strandline.operators.dedup import decisions, with_content
 from strandline.operators.late_events import EventLedger
+from strandline.schemas import OPERATIONAL
 from strandline.sources.keyed import KeyedTable
+from strandline.sources.logs import stream_changes
 
 Clock = Callable[[], datetime]
 
@@ -109,6 +111,12 @@ def current_state_stream(changes: DataFrame, key: Sequence[str], table: str, che
     return _start(changes.writeStream.foreachBatch(write), checkpoint, every)
 
 
+def operational_streams(spark, feeds: str, tables: str, checkpoints: str, every: str | None = None) -> list[StreamingQuery]:
+    """One query for each operational table, from its change feed below `feeds` to its state table below `tables`; hand them to
+    statement_set."""
+    return [current_state_stream(stream_changes(spark, feeds, name), key, f"{tables}/{name}", f"{checkpoints}/{name}", every) for name, (_, key) in OPERATIONAL.items()]
+
+
 def read_state(spark, table: str, key: Sequence[str], schema) -> DataFrame:
     """The live rows of a state table; none while it is empty."""
     return KeyedTable(spark, table, key, schema).rows().where("not deleted").drop("deleted")

@@ -235,11 +235,25 @@ def test_chunks_keep_sentences_whole(spark):
     rows = [(1, " ".join(sentence), "T"), (2, None, "T"), (3, " ", None), (4, "word " * 1200, None)]
     got = retrieval.chunks(spark.createDataFrame(rows, "doc_id long, text string, title string"), 100, 20).orderBy("doc_id", "chunk_no").collect()
     first = [r for r in got if r.doc_id == 1]
-    assert all(r.content.startswith("T\n") and r.n_words <= 100 for r in first) and {r.doc_id for r in got} == {1, 4}
+    assert all(r.content.startswith("T\n") and r.n_tokens <= 100 for r in first) and {r.doc_id for r in got} == {1, 4}
     bodies = [r.content[2:] for r in first]
     assert all(s in " ".join(bodies) for s in sentence) and all(b.endswith(".") for b in bodies)
     assert bodies[1].split(".")[0] + "." in bodies[0] and first[3].chunk_id == "1::v1::chunk-0003"
-    assert sum(r.n_words for r in got if r.doc_id == 4) == 1200 + 0 * len(got)
+    assert sum(r.n_tokens for r in got if r.doc_id == 4) == 1200
+
+
+def test_chunks_without_spaces(spark):
+    import hashlib
+
+    sentence = [f"第{i}便の貨物は港で三時間待ちました。" for i in range(60)]
+    one = "長" * 700  # a sentence longer than a chunk
+    rows = [(1, "".join(sentence), None), (2, one, None)]
+    got = retrieval.chunks(spark.createDataFrame(rows, "doc_id long, text string, title string"), 120, 30).orderBy("doc_id", "chunk_no").collect()
+    first = [r for r in got if r.doc_id == 1]
+    assert all(r.n_tokens <= 120 for r in got) and len(first) > 10
+    assert all(r.content.endswith("。") for r in first) and all(any(s in r.content for r in first) for s in sentence)
+    assert "".join(r.content.replace(" ", "") for r in got if r.doc_id == 2) == one
+    assert all(r.content_hash == hashlib.sha256(r.content.encode()).hexdigest() for r in got)
 
 
 def test_selection(spark):
@@ -301,3 +315,61 @@ def test_ids_of_an_impact(spark):
     orders = spark.createDataFrame([("p", "s", "open"), ("q", "s", "closed"), ("r", "t", "open"), ("u", None, "open")], "purchase_order_id string, supplier_id string, status string")
     assert sorted(tuple(r) for r in features.shipment_ids(impacts, shipments).collect()) == [("i", "a"), ("j", "a")]
     assert [tuple(r) for r in features.order_ids(impacts, orders).collect()] == [("s", "p")]
+
+
+def test_avro_values_round_trip(spark):
+    from datetime import datetime as dt
+
+    from strandline.sources import avro
+
+    at = dt(2026, 3, 1, 12, 30, 15, 123000, tzinfo=timezone.utc)
+    schema = schemas.topic_schema("events.normalized.v1")
+    good = (1.5, -70.25, None, None, 33.0, "naïve 港", None, "active")
+    rows = [("e1", "earthquake", 1, "s", "x", None, at, at, at, "t", "c" * 300, "demo", good), ("e2", "flood", -2_000_000_000, "s", "", "v", at, at, at, "t", None, "demo", (0.0, 0.0, float("inf"), "", 0.0, "", "", ""))]
+    df = spark.createDataFrame(rows, schema)
+    records = avro.encoded(df.withColumn("extra", F.lit(1)), schema, "source_event_id", 7)
+    found = records.collect()
+    assert [bytes(r.value[:5]) for r in found] == [b"\x00\x00\x00\x00\x07"] * 2 and {bytes(r.key) for r in found} == {b"x", b""}
+    assert [h.key for h in found[0].headers] == ["trace_id", "event_type"] and bytes(found[0].headers[0].value) == b"t"
+    back = avro.decoded(records.unionByName(spark.createDataFrame([(None, None, [])], records.schema)), schema)
+    assert back.schema.simpleString() == schema.simpleString()
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+    violation = schemas.topic_schema("audit.data_quality.v1")
+    assert '"items": "string"' in avro.avro_schema(violation, "violation")
+    with pytest.raises(Exception, match="no key"):
+        avro.encoded(df.withColumn("source_event_id", F.lit(None).cast("string")), schema, "source_event_id", 7).collect()
+    with pytest.raises(Exception, match="not a framed"):
+        avro.decoded(spark.createDataFrame([(bytearray(b"abc"),)], "value binary"), schema).collect()
+
+
+def test_floods_and_wildfires(spark):
+    ring = [(-1.0, 10.0, 1.0, 10.0), (1.0, 10.0, 1.0, 12.0), (1.0, 12.0, -1.0, 12.0), (-1.0, 12.0, -1.0, 10.0)]
+    schema = "event_id string, event_type string, source string, source_event_id string, alert string, payload struct<severity:double,latitude:double,longitude:double>, region struct<rlon:double,edges:array<struct<x0:double,y0:double,x1:double,y1:double>>>"
+    rows = [(i, kind, "s", i, alert, (2.0, 11.0, 179.5), (179.5, ring)) for i, kind, alert in (("a", "flood", "RED"), ("b", "flood", "green"), ("c", "storm", "red"))]
+    places = spark.createDataFrame([("in", "p", 11.0, -179.8), ("edge", "p", 10.0, 179.0), ("out", "p", 11.0, -179.0), ("none", "p", None, 1.0)], "facility_id string, supplier_id string, latitude double, longitude double")
+    got = correlate.correlate_regions(spark.createDataFrame(rows, schema), places, NOW).collect()
+    assert {(r.event_id, r.asset_id) for r in got} == {("a", "in"), ("a", "edge")} and all(r.inside_affected_area and r.geospatial_score == 1.0 and r.radius_km is None for r in got)
+    fires = spark.createDataFrame([("wildfire", "High"), ("wildfire", "low"), ("flood", "high"), ("wildfire", None)], "t string, c string")
+    assert [r[0] for r in fires.select(geo.wildfire_radius_km(F.col("t"), F.col("c"))).collect()] == [40.0, None, None, None]
+
+
+def test_radius_classes_and_full_cells(spark):
+    rng = random.Random(4)
+    at = [(f"f{i}", "s", *p) for i, p in enumerate([(rng.uniform(30, 34), rng.uniform(-180, 180)) for _ in range(300)] + [(32.0, 179.99 - i / 1e4) for i in range(300)])]
+    ev = [(f"e{i}", "d", f"e{i}", "earthquake", NOW, "t", "demo", i, (rng.uniform(30, 34), rng.choice([-1, 1]) * rng.uniform(178, 180), rng.choice([4.0, 5.0, 6.5, 7.9]))) for i in range(60)]
+    schema = "event_id string, source string, source_event_id string, event_type string, event_time timestamp, trace_id string, tenant_id string, seq long, payload struct<latitude:double,longitude:double,severity:double>"
+    events_, places = spark.createDataFrame(ev, schema), spark.createDataFrame(at, "facility_id string, supplier_id string, latitude double, longitude double")
+    left, right = correlate._sides(events_, places)
+    got = sorted((r.event_id, r.asset_id) for r in correlate.cell_join(left, right, *correlate.AT, correlate.REACHES_KM, F.col("radius_km"), cell_rows=20).collect())
+    far = lambda a, b, c, d: 2 * 6371.0088 * math.asin(math.sqrt(math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2))
+    radius = lambda m: 250 if m >= 7 else 120 if m >= 6 else 50 if m >= 5 else -1
+    assert got == sorted((e[0], f[0]) for e in ev for f in at if far(*e[8][:2], *f[2:]) <= radius(e[8][2])) and len(got) > 100
+
+
+def test_half_of_the_rows(spark):
+    for n, bins in ((0, 16), (1, 16), (2, 4), (999, 16), (1000, 4096)):
+        df = spark.range(n).withColumn("same", F.lit(1))
+        got = [r.id for r in features.sample_half(df, 3, bins).collect()]
+        assert len(got) == len(set(got)) == (max(1, n // 2) if n else 0)
+    assert features.sample_half(df.select("same"), 3).count() == 500
+    assert sorted(got) != sorted(r.id for r in features.sample_half(df, 4).collect())
