@@ -118,7 +118,7 @@ def near_pairs(left: DataFrame, right: DataFrame, radius_km: float) -> DataFrame
     lefts, rights = at(left, "left_id", "rlat", "rlon"), at(right, "right_id", "plat", "plon")
     centres = lefts.select("rlat", "rlon").distinct().select(F.struct("rlat", "rlon").alias("rid"), "rlat", "rlon")
     points = rights.select("plat", "plon").distinct().select(F.struct("plat", "plon").alias("pid"), "plat", "plon")
-    found = points_in_regions(points, disc_regions(centres, radius_km), strip_deg=max(0.02, math.degrees(radius_km / EARTH_RADIUS_KM)))
+    found = points_in_regions(points, disc_regions(centres, radius_km), strip_deg=max(0.02, 2 * math.degrees(radius_km / EARTH_RADIUS_KM)))
     found = found.select("pid.*", "rid.*")
     close = found.where(haversine_km(F.col("rlat"), F.col("rlon"), F.col("plat"), F.col("plon")) <= radius_km)
     return close.join(rights, ["plat", "plon"]).join(lefts, ["rlat", "rlon"]).select("left_id", "right_id").distinct()
