@@ -21,14 +21,16 @@ def best_records(rows: DataFrame, group: Sequence[str], record_id: str, order: S
     condition under which a record's value of the field may be used, None for "not null"; the value comes from the first record
     in the ranking that meets it, and <field>_<record_id> names that record. Both are null if no record does. A repeated
     record (same id) is one record. Rows with a null in the group or the id belong to no group. Empty input: no rows. Columns of
-    rows called _kind or _n are ignored and must not be used in the order.
+    rows called _kind or _n are ignored and must not be used in the order, nor must the columns of fields (give it a copy).
     """
     known = rows.dropna(subset=[*group, record_id])
     kinds = F.array(
         F.lit(0),
         *[F.when(F.coalesce(ok if ok is not None else F.col(name).isNotNull(), F.lit(False)), F.lit(i + 1)) for i, (name, ok) in enumerate(fields.items())],
     )
+    # a row that stands for a field carries the value of that field only
     tagged = known.withColumn("_kind", F.explode(F.array_compact(kinds)))
+    tagged = tagged.withColumns({name: F.when(F.col("_kind") == i + 1, F.col(name)) for i, name in enumerate(fields)})
     w = Window.partitionBy(*group, "_kind").orderBy(*order, F.col(record_id).asc())
     top = tagged.withColumn("_n", F.row_number().over(w)).where("_n = 1")
     picked = [F.max(F.when(F.col("_kind") == 0, F.col(record_id))).alias(record_id)]
