@@ -58,8 +58,8 @@ def inventory_days_remaining(on_hand: Column, daily_usage: Column) -> Column:
 
 
 def consume_inventory(quantity: Column, daily_usage: Column, tick_s: float, factor: Column) -> Column:
-    """Stock after tick_s seconds at factor times the daily usage, never below zero, to four decimals."""
-    return F.round(F.greatest(F.lit(0.0), quantity - daily_usage * (tick_s / 86400) * factor), 4)
+    """Stock after tick_s seconds at factor times the daily usage (none if null), never below zero, to four decimals."""
+    return F.round(F.greatest(F.lit(0.0), quantity - F.coalesce(daily_usage, F.lit(0.0)) * (tick_s / 86400) * factor), 4)
 
 
 def drift_eta(eta: Column, uniform: Column) -> Column:

@@ -125,29 +125,98 @@ def _blocks(rows: DataFrame, name: str) -> DataFrame:
     return rows.where("id is not null and vector is not null and size(vector) > 0").mapInPandas(pack, f"{name}_ids array<bigint>, {name}_vectors array<double>")
 
 
-def similarities(queries: DataFrame, items: DataFrame, k: int | None = None) -> DataFrame:
-    """(query_id, item_id, similarity): the cosine of each query with every item, or with the k best of each block of items.
+def _unit(ids: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    m = np.asarray(flat, dtype=float).reshape(len(ids), -1)
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
-    queries: query_id, vector - a stated set; items: item_id, vector. Both are packed into blocks, and every block of queries meets
-    every block of items in one matrix product. Rows without a vector are left out, vectors of zeros are similar to nothing
-    (0); all vectors have one length.
-    """
-    asked = _blocks(queries.select(F.col("query_id").cast("bigint").alias("id"), "vector"), "q")
-    stock = _blocks(items.select(F.col("item_id").cast("bigint").alias("id"), "vector"), "i")
 
-    def unit(ids: np.ndarray, flat: np.ndarray) -> np.ndarray:
-        m = np.asarray(flat, dtype=float).reshape(len(ids), -1)
-        return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+def _best_of_blocks(met: DataFrame, k: int | None) -> DataFrame:
+    """(query_id, item_id, similarity) of rows that hold a block of queries and a block of items: one matrix product each."""
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for q_ids, q, i_ids, i in zip(pdf["q_ids"], pdf["q_vectors"], pdf["i_ids"], pdf["i_vectors"], strict=True):
                 order = np.argsort(i_ids, kind="stable")
-                likeness = np.round(unit(q_ids, q) @ unit(i_ids, i)[order].T, 6) + 0.0
+                likeness = np.round(_unit(q_ids, q) @ _unit(i_ids, i)[order].T, 6) + 0.0
                 top = np.argsort(-likeness, axis=1, kind="stable")[:, :k]
                 yield pd.DataFrame({"query_id": np.repeat(q_ids, top.shape[1]), "item_id": np.asarray(i_ids)[order][top].ravel(), "similarity": np.take_along_axis(likeness, top, 1).ravel()})
 
-    return stock.crossJoin(asked).mapInPandas(best, "query_id bigint, item_id bigint, similarity double")
+    return met.select("q_ids", "q_vectors", "i_ids", "i_vectors").mapInPandas(best, "query_id bigint, item_id bigint, similarity double")
+
+
+def similarities(queries: DataFrame, items: DataFrame, k: int | None = None) -> DataFrame:
+    """(query_id, item_id, similarity): the cosine of each query with every item, or with the k best of each block of items.
+
+    queries: query_id, vector - a stated set; items: item_id, vector. Both are packed into blocks, and every block of queries meets
+    every block of items in one matrix product. Rows without a vector are left out, vectors of zeros are similar to nothing
+    (0); all vectors have one length.
+    """
+    asked = _blocks(queries.select(F.col("query_id").cast("bigint").alias("id"), "vector"), "q")
+    stock = _blocks(items.select(F.col("item_id").cast("bigint").alias("id"), "vector"), "i")
+    return _best_of_blocks(stock.crossJoin(asked), k)
+
+
+def fit_cells(items: DataFrame, k: int, cells: int = 64, recall: float = 0.95, sample_rows: int = 20_000, rounds: int = 12, seed: int = 1) -> tuple[np.ndarray, int]:
+    """Unit centres (cells, length) of an inverted file, by k-means over at most sample_rows items, those with the least hash of their
+    id; and how many cells a query must probe so that, within the sample, that part of its k nearest is found. The sample is
+    all that is read into the driver."""
+    known = items.where("item_id is not null and vector is not null and size(vector) > 0")
+    rows = known.select("vector", F.xxhash64(F.lit(seed), "item_id").alias("_h")).orderBy("_h").limit(sample_rows).collect()
+    if not rows:
+        return np.zeros((0, 0)), 0
+    m = np.array([r.vector for r in rows], dtype=float)
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    centres = m[np.random.default_rng(seed).choice(len(m), min(cells, len(m)), replace=False)]
+    for _ in range(rounds):
+        near = (m @ centres.T).argmax(axis=1)
+        for c in range(len(centres)):
+            if (own := m[near == c]).size:
+                centres[c] = own.mean(axis=0)
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-300)
+    asked = m[:200]
+    likeness = asked @ m.T
+    likeness[np.arange(len(asked)), np.arange(len(asked))] = -2  # not itself
+    nearest = np.argsort(-likeness, axis=1)[:, :k]
+    place = np.argsort(np.argsort(-(asked @ centres.T), axis=1), axis=1)  # of each cell for each query
+    needed = np.sort(np.take_along_axis(place, (m @ centres.T).argmax(axis=1)[nearest], axis=1).ravel()) + 1
+    return centres, int(needed[min(len(needed) - 1, int(recall * len(needed)))])
+
+
+def indexed(rows: DataFrame, name: str, centres: np.ndarray, probes: int = 1) -> DataFrame:
+    """Rows (id, vector) in blocks by cell: cell, ids and one run of doubles. A row is in the `probes` cells nearest to it; a cell with
+    many rows has many blocks."""
+    known = rows.sparkSession.sparkContext.broadcast(centres)  # bounded: cells times the length of a vector
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            m = np.stack([np.asarray(v, dtype=float) for v in pdf["vector"]])
+            near = np.argsort(-(m @ known.value.T), axis=1, kind="stable")[:, :probes]
+            ids = pdf["id"].to_numpy()
+            for cell in np.unique(near):
+                own = np.flatnonzero((near == cell).any(axis=1))
+                for at in range(0, len(own), BLOCK):
+                    part = own[at : at + BLOCK]
+                    yield pd.DataFrame({"cell": [int(cell)], f"{name}_ids": [ids[part]], f"{name}_vectors": [m[part].ravel()]})
+
+    return rows.where("id is not null and vector is not null and size(vector) > 0").mapInPandas(place, f"cell int, {name}_ids array<bigint>, {name}_vectors array<double>")
+
+
+def knn_indexed(queries: DataFrame, items: DataFrame, k: int, cells: int = 64, recall: float = 0.95, sample_rows: int = 20_000) -> DataFrame:
+    """As knn, by an inverted file: each query is held against the items of the nearest cells, as many as fit_cells finds necessary
+    for the recall. Every item is in the index; knn is the exact way."""
+    centres, probes = fit_cells(items, k, cells, recall, sample_rows)
+    if not len(centres):
+        return knn(queries, items, k)
+    asked = indexed(queries.select(F.col("query_id").cast("bigint").alias("id"), "vector"), "q", centres, probes)
+    stock = indexed(items.select(F.col("item_id").cast("bigint").alias("id"), "vector"), "i", centres)
+    return _ranked(_best_of_blocks(stock.join(asked, "cell"), k), k)
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
+    return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
 def knn(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
@@ -155,9 +224,7 @@ def knn(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
 
     As similarities, of which each block keeps k items a query; the survivors are ranked.
     """
-    scored = similarities(queries, items, k)
-    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
-    return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    return _ranked(similarities(queries, items, k), k)
 
 
 def bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:

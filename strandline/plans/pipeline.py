@@ -99,11 +99,10 @@ def inventory_days_remaining(spark, root):
     return views.inventory(spark, root).select("product_id", F.round(text.inventory_days_remaining(F.col("quantity_on_hand"), F.col("average_daily_usage")), 6).alias("days"))
 
 
-@query(f"WITH {INVENTORY_SQL} SELECT product_id, round(greatest(0, quantity_on_hand - average_daily_usage * (3701e0 / 86400) * (0.6 + (product_id % 9 + 1) / 13e0)), 4) AS quantity FROM inv WHERE average_daily_usage IS NOT NULL")
+@query(f"WITH {INVENTORY_SQL} SELECT product_id, round(greatest(0, quantity_on_hand - coalesce(average_daily_usage, 0) * (3701e0 / 86400) * (0.6 + (product_id % 9 + 1) / 13e0)), 4) AS quantity FROM inv")
 def consume_inventory(spark, root):
     factor = 0.6 + (F.col("product_id") % 9 + 1) / F.lit(13.0)
-    inv = views.inventory(spark, root).where("average_daily_usage is not null")
-    return inv.select("product_id", text.consume_inventory(F.col("quantity_on_hand"), F.col("average_daily_usage"), 3701, factor).alias("quantity"))
+    return views.inventory(spark, root).select("product_id", text.consume_inventory(F.col("quantity_on_hand"), F.col("average_daily_usage"), 3701, factor).alias("quantity"))
 
 
 @query("SELECT o_orderkey, epoch_us(o_orderdate) + CAST(floor(((o_orderkey % 100) / 100e0 * 120 - 30) * 60000000) AS BIGINT) AS eta_us FROM orders")
@@ -552,6 +551,15 @@ def vector_knn(spark, root):
     return _knn(spark, root, 10).withColumn("place", F.col("place").cast("long"))
 
 
+@query()
+def vector_knn_indexed(spark, root):
+    """Recall of the inverted file against the exact search, over all queries."""
+    e = table(spark, root, "embeddings").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    asked = e.where("item_id % 50 = 0").withColumnRenamed("item_id", "query_id")
+    found = retrieval.knn_indexed(asked, e, 10).select("query_id", "item_id", F.lit(1).alias("hit"))
+    return retrieval.knn(asked, e, 10).join(found, ["query_id", "item_id"], "left").agg(F.count("*").alias("neighbours"), F.round(F.avg(F.coalesce("hit", F.lit(0))), 4).alias("recall"))
+
+
 ASKED = ((1, "container vessel congestion at the terminal"), (2, "aftershock cracked the floor"), (3, "credit downgrade of the supplier"))
 _ASKED_SQL = "(VALUES " + ", ".join(f"({n}, '{q}')" for n, q in ASKED) + ") a(query_id, query)"
 _BM25 = f"""w AS (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), []) AS t FROM documents), o AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM w), q AS (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(query), '[a-z0-9]+')) AS term FROM {_ASKED_SQL}),

@@ -3,6 +3,7 @@ import random
 import uuid
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -373,3 +374,17 @@ def test_half_of_the_rows(spark):
         assert len(got) == len(set(got)) == (max(1, n // 2) if n else 0)
     assert features.sample_half(df.select("same"), 3).count() == 500
     assert sorted(got) != sorted(r.id for r in features.sample_half(df, 4).collect())
+
+
+def test_the_index_finds_what_is_near(spark):
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(600, 8)) + 4 * np.eye(8)[rng.integers(0, 8, 600)]
+    rows = [(i, v.tolist()) for i, v in enumerate(m)] + [(700, None), (None, m[0].tolist()), (701, [])]
+    items = spark.createDataFrame(rows, "item_id long, vector array<double>").withColumn("cell", F.lit("clash"))
+    asked = items.where("item_id % 20 = 0").withColumnRenamed("item_id", "query_id")
+    exact = {(r.query_id, r.item_id) for r in retrieval.knn(asked, items, 5).collect()}
+    found = [(r.query_id, r.item_id) for r in retrieval.knn_indexed(asked, items, 5, cells=12, sample_rows=200).collect()]
+    assert len(found) == len(set(found)) == len(exact) and len(exact & set(found)) >= 0.9 * len(exact)
+    # as many cells as any query of the sample, here nearly all items, needs
+    assert {(r.query_id, r.item_id) for r in retrieval.knn_indexed(asked, items, 5, cells=12, recall=1.0).collect()} == exact
+    assert retrieval.knn_indexed(asked, items.limit(0), 5).count() == 0
