@@ -190,6 +190,34 @@ def link_entities(mentions: DataFrame, aliases: DataFrame, most_edits: int = 2)
     return linked.select(*mentions.columns, F.coalesce("entity_id", "_best._id").alias("entity_id"), how.alias("how"))
 
 
+def named_entities(texts: DataFrame, aliases: DataFrame, most_words: int = 5) -> DataFrame:
+    """(doc_id, mention, entity_id) of each different name of aliases (entity_id, alias) that stands in a text (doc_id, text), word for
+    word after normalization; names of more than most_words words are left out. The smallest entity_id has the name.
+
+    Runs of words of each text are joined with the names, so cost is in proportion to the texts' words. Null texts name nothing.
+    """
+    names = aliases.select("entity_id", normalized_name(F.col("alias")).alias("mention")).where(f"mention <> '' and size(split(mention, ' ')) <= {most_words}")
+    names = names.groupBy("mention").agg(F.min("entity_id").alias("entity_id"))
+    words = F.split(normalized_name(F.col("text")), " ")
+    starts = F.sequence(F.lit(1), F.size("_w"))
+    runs = F.flatten(F.transform(starts, lambda at: F.transform(F.sequence(F.lit(1), F.least(F.lit(most_words), F.size("_w") - at + 1)), lambda n: F.concat_ws(" ", F.slice("_w", at, n)))))
+    spoken = texts.where("text is not null").select("doc_id", words.alias("_w")).select("doc_id", F.explode(F.array_distinct(runs)).alias("mention"))
+    return spoken.join(names, "mention").select("doc_id", "mention", "entity_id").distinct()
+
+
+def categorized(texts: DataFrame, categories: dict[str, str]) -> DataFrame:
+    """texts (text) with `category`: the first of categories (name: pattern over lower-case text) that is found; null if none is."""
+    cases = [F.when(F.lower("text").rlike(pattern), F.lit(name)) for name, pattern in categories.items()]
+    return texts.withColumn("category", F.coalesce(*cases))
+
+
+def enriched(texts: DataFrame, categories: dict[str, str], aliases: DataFrame) -> DataFrame:
+    """(doc_id, category, mention, entity_id): classified texts with the entities they name, one row each; mention is null where a
+    text names none."""
+    found = categorized(texts.select("doc_id", "text"), categories).select("doc_id", "category")
+    return found.join(named_entities(texts, aliases), "doc_id", "left")
+
+
 def retry_envelopes(failed: DataFrame, now_ms: int, base_s: float = 1.0, most_s: float = 60.0, attempts: int = 4) -> DataFrame:
     """failed (attempt, last_error, error_type, ...) with next_retry_at_ms and route: retry, or dead_letter after the last attempt."""
     from strandline.functions.text import retry_delay

@@ -231,6 +231,15 @@ def test_linking(spark):
     assert got == {"galvary systems inc": ("1", "exact"), "Galvary Sistems Inc": ("1", "near"), "Ekko  OPTICS": ("2", "exact"), "Nobody": (None, None), None: (None, None), "": (None, None)}
 
 
+def test_named_entities(spark):
+    aliases = spark.createDataFrame([("1", "Galvary Systems, Inc."), ("3", "Galvary systems inc"), ("2", "Ekko"), ("4", "a b c d e f"), ("5", None), ("6", "...")], "entity_id string, alias string")
+    texts = spark.createDataFrame([(1, "At GALVARY  Systems inc; Ekko and Ekko again."), (2, "Ekkoo systems"), (3, None), (4, ""), (5, "a b c d e f")], "doc_id long, text string").withColumn("mention", F.lit("clash"))
+    got = sorted((r.doc_id, r.mention, r.entity_id) for r in features.named_entities(texts, aliases).collect())
+    assert got == [(1, "ekko", "2"), (1, "galvary systems inc", "1")]
+    rows = {(r.doc_id, r.category, r.mention) for r in features.enriched(texts, {"x": "again", "y": "at "}, aliases).collect()}
+    assert rows == {(1, "x", "ekko"), (1, "x", "galvary systems inc"), (2, None, None), (3, None, None), (4, None, None), (5, None, None)}
+
+
 def test_chunks_keep_sentences_whole(spark):
     sentence = [f"Sentence {i} has some words in it." for i in range(300)]
     rows = [(1, " ".join(sentence), "T"), (2, None, "T"), (3, " ", None), (4, "word " * 1200, None)]
