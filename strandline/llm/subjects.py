@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel
@@ -151,17 +152,18 @@ def language_group(text: str) -> str:
 def _prepared(docs: DataFrame) -> DataFrame:
     """(doc_id, group, terms) of each document with terms; terms joined by blanks, as lists take many times the memory in Python."""
 
-    @F.pandas_udf("group string, terms string")
-    def prepare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             groups, joined = [], []
-            for text in texts:
-                clean = normalized(text)
+            for text in batch.column("text"):
+                clean = normalized(text.as_py())
                 groups.append(language_group(clean))
                 joined.append(" ".join(terms(clean)))
-            yield pd.DataFrame({"group": groups, "terms": joined})
+            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(groups, pa.string()), pa.array(joined, pa.string())], ["doc_id", "group", "terms"])
+            yield out.filter(pa.array([bool(j) for j in joined], pa.bool_()))
 
-    return docs.where("length(text) > 0").select("doc_id", prepare("text").alias("p")).where("p.terms <> ''").select("doc_id", "p.group", "p.terms")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.where("length(text) > 0").select("doc_id", "text").mapInArrow(prepare, f"doc_id {kind}, group string, terms string")
 
 
 def group_vocabulary(rows: DataFrame, naming: dict[str, list[str]], group: str, settings: Settings) -> list[str]:
