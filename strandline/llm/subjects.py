@@ -3,8 +3,8 @@
 Method: a distributed latent Dirichlet model is fitted for each language group over the distinct texts of all documents; its topics
 are mapped to subjects through their top terms, as inspected; and a document gets the subjects whose topics together make up
 enough of its topic proportions, which are inferred for every document under the fitted topics. Topics that hold next to nothing
-of the corpus, fragments of a few texts that mix the others' terms, are left out of that inference, with the terms that are mostly
-theirs. A subject needs at least two different terms in the document, so that a figure of speech or a stray word doesn't count.
+of the corpus and topics without a subject that mix the terms of others, fragments of a few texts, are left out of that inference,
+with the terms that are mostly theirs. A subject needs at least two different terms in the document, so that a figure of speech or a stray word doesn't count.
 """
 
 from __future__ import annotations
@@ -109,11 +109,11 @@ class Settings:
     fragment: the part of all term weight below which a topic that isn't its subject's greatest is left out. density: prior
     of a document's topics."""
 
-    topics: int = 30
+    topics: int = 20
     vocabulary: int = 20_000
     least_documents: int = 4
     iterations: int = 30
-    passes: float = 9.0
+    passes: float = 6.0
     share: float = 0.1625
     attempts: int = 3
     mixed: float = 0.02
@@ -212,10 +212,13 @@ class TopicModel:
 
 
 def kept_topics(weights: np.ndarray, subject_of: np.ndarray, fragment: float) -> np.ndarray:
-    """Numbers of the topics that hold at least `fragment` of all weight, or the most of their subject."""
+    """Numbers of the topics that hold at least `fragment` of all weight, or the most of their subject; of those without a subject
+    only if at least half of their weight is in terms that no subject's topic has more of."""
     held = weights.sum(axis=0) / weights.sum()
     greatest = {int(np.where(subject_of == s, held, -1).argmax()) for s in set(subject_of.tolist()) - {-1}}
-    return np.array([t for t in range(len(held)) if held[t] >= fragment or t in greatest], dtype=np.int64)
+    taken = subject_of[weights.argmax(axis=1)] >= 0
+    foreign = weights[taken].sum(axis=0) / weights.sum(axis=0)
+    return np.array([t for t in range(len(held)) if t in greatest or (held[t] >= fragment and (subject_of[t] >= 0 or foreign[t] <= 0.5))], dtype=np.int64)
 
 
 def proportions(counts: Sequence[tuple[np.ndarray, np.ndarray]], weights: np.ndarray, density: float, most_steps: int = 60) -> tuple[np.ndarray, np.ndarray]:
