@@ -35,20 +35,23 @@ def parse_features(rows: DataFrame) -> DataFrame:
     `problem`, the first thing that is structurally wrong (null: nothing), with the value that was got. rows: feature, a variant. Types are strict: numbers
     only where numbers are due (no text, no booleans); a place or url that isn't text is null; other fields are ignored.
     """
-    at = lambda path: F.try_variant_get("feature", path, "variant")
-    kind = lambda path: F.coalesce(F.schema_of_variant(at(path)), F.lit("VOID"))
-    text = lambda path: F.when(kind(path) == "STRING", F.try_variant_get("feature", path, "string"))
-    number = lambda path: F.when(_numeric(kind(path)), F.try_variant_get("feature", path, "double"))
+    # each path is looked up once a row and its kind told once: the rules below name them many times over
+    paths = ["$", "$.id", "$.properties", "$.properties.mag", "$.properties.time", "$.properties.updated", "$.properties.place", "$.properties.url", "$.geometry", *[f"$.geometry.coordinates{i}" for i in ("", "[0]", "[1]", "[2]")]]
+    rows = rows.select(*[F.try_variant_get("feature", path, "variant").alias(f"_at{n}") for n, path in enumerate(paths)])
+    rows = rows.select("*", *[F.coalesce(F.schema_of_variant(f"_at{n}"), F.lit("VOID")).alias(f"_kind{n}") for n in range(len(paths))])
+    at = lambda path, to: F.try_variant_get(f"_at{paths.index(path)}", "$", to)
+    kind = lambda path: F.col(f"_kind{paths.index(path)}")
+    text = lambda path: F.when(kind(path) == "STRING", at(path, "string"))
+    number = lambda path: F.when(_numeric(kind(path)), at(path, "double"))
     event_id = text("$.id")
     bad = lambda path: ~_numeric(kind(path))
     off = lambda path: bad(path) & (kind(path) != "VOID")
     coordinates = "$.geometry.coordinates"
-    value = lambda path: F.try_variant_get("feature", path, "string")
-    got = lambda why, path: F.concat(F.lit(f"{why}, got "), _shown(value(path), kind(path), text(path)))
+    got = lambda why, path: F.concat(F.lit(f"{why}, got "), _shown(at(path, "string"), kind(path), text(path)))
     # fixed values: the texts of problems
-    short = ~F.coalesce(kind(coordinates).startswith("ARRAY"), F.lit(False)) | (F.coalesce(F.size(F.try_variant_get("feature", coordinates, "array<variant>")), F.lit(0)) < 2)
+    short = ~kind(coordinates).startswith("ARRAY") | (F.coalesce(F.size(at(coordinates, "array<variant>")), F.lit(0)) < 2)
     problem = (
-        F.when(~F.coalesce(F.schema_of_variant("feature").startswith("OBJECT"), F.lit(False)), "feature is not an object")
+        F.when(~kind("$").startswith("OBJECT"), "feature is not an object")
         .when(event_id.isNull() | (event_id == ""), "feature has no string 'id'")
         .when(~kind("$.properties").startswith("OBJECT"), "'properties' missing or not an object")
         .when(~kind("$.geometry").startswith("OBJECT"), "'geometry' missing or not an object")
@@ -78,18 +81,24 @@ def classified(parsed: DataFrame, markers: DataFrame, now: datetime, tolerance_s
     return joined.withColumn("outcome", outcome).drop("_seen")
 
 
+def _of_delivered(rows: DataFrame, delivered: DataFrame) -> DataFrame:
+    """The rows whose id was delivered. The ids may be as many as the rows, though a column of them looks small in files: they are
+    merged, never gathered on the driver for a broadcast."""
+    return rows.join(delivered.select("source_event_id").distinct().hint("merge"), "source_event_id", "left_semi")
+
+
 def committed(markers: DataFrame, polled: DataFrame, delivered: DataFrame) -> DataFrame:
     """Markers after a poll: those of the new events that were delivered (source_event_id) replace earlier ones; the others stay, so
     that what wasn't delivered is tried again."""
-    fresh = polled.where("outcome = 'new'").join(delivered.select("source_event_id").distinct(), "source_event_id", "left_semi")
+    fresh = _of_delivered(polled.where("outcome = 'new'"), delivered)
     fresh = fresh.groupBy("source_event_id").agg(F.max_by("marker", "updated_time").alias("seen"))
-    kept = markers.join(fresh, "source_event_id", "left_anti").select("source_event_id", "seen")
+    kept = markers.join(fresh.hint("merge"), "source_event_id", "left_anti").select("source_event_id", "seen")
     return kept.unionByName(fresh)
 
 
 def poll_stats(polled: DataFrame, delivered: DataFrame) -> DataFrame:
     """One row: fetched, produced, duplicates, invalid, undelivered."""
-    sent = delivered.select("source_event_id").distinct().withColumn("_sent", F.lit(True))
+    sent = delivered.select("source_event_id").distinct().withColumn("_sent", F.lit(True)).hint("merge")
     rows = polled.join(sent, "source_event_id", "left")
     new = F.col("outcome") == "new"
     got = F.coalesce("_sent", F.lit(False))
@@ -99,6 +108,6 @@ def poll_stats(polled: DataFrame, delivered: DataFrame) -> DataFrame:
 def cursor_max(polled: DataFrame, delivered: DataFrame, before_ms: int | None, now: datetime) -> DataFrame:
     """One row: the latest update in epoch ms among the new events that were delivered (source_event_id) and the cursor before, and
     how far it lies behind now. What wasn't delivered doesn't move the cursor past itself; null if there is neither."""
-    sent = polled.where("outcome = 'new'").join(delivered.select("source_event_id").distinct(), "source_event_id", "left_semi")
+    sent = _of_delivered(polled.where("outcome = 'new'"), delivered)
     newest = F.greatest(F.max(F.unix_millis("updated_time")), F.lit(before_ms).cast("long"))
     return sent.agg(newest.alias("last_updated_ms")).withColumn("lag_ms", F.unix_millis(F.lit(now)) - F.col("last_updated_ms"))

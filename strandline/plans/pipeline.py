@@ -12,6 +12,7 @@ from strandline.operators import correlate, dedup, features, feed, ingest, quali
 from strandline.plans import views
 from strandline.plans.dealt import KEYS
 from strandline.plans.views import FACILITY_SQL, INVENTORY_SQL, NOW, NOW_SQL, RAW_SQL, UPDATES_SQL, polled_sql
+from strandline.session import stored
 from strandline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,11 +304,12 @@ def src_facility_kv(spark, root):
 # --- feed polls ---------------------------------------------------------------------------------------------------------------
 
 
-def _polled(spark, root, markers=None):
-    parsed = ingest.parse_features(ingest.features(views.feed_documents(spark, root)))
-    if markers is None:
-        markers = spark.createDataFrame([], "source_event_id string, seen string")
-    return ingest.classified(parsed, markers, NOW)
+def _parsed(spark, root):
+    return ingest.parse_features(ingest.features(views.feed_documents(spark, root)))
+
+
+def _polled(spark, root):
+    return ingest.classified(_parsed(spark, root), spark.createDataFrame([], "source_event_id string, seen string"), NOW)
 
 
 def _delivered(spark, root):
@@ -338,8 +340,11 @@ def poll_stats(spark, root):
 
 @query(polled_sql(f"source_event_id, CASE WHEN NOT coalesce({_OK}, false) THEN 'invalid' WHEN event_id % 3 <> 0 THEN 'duplicate' ELSE 'new' END AS outcome"))
 def cursor_dedup_join(spark, root):
-    markers = ingest.committed(spark.createDataFrame([], "source_event_id string, seen string"), _polled(spark, root), _delivered(spark, root))
-    return _polled(spark, root, markers).select("source_event_id", "outcome")
+    # the feed is parsed once for both polls
+    parsed = stored(_parsed(spark, root), "feed")
+    none = spark.createDataFrame([], "source_event_id string, seen string")
+    markers = ingest.committed(none, ingest.classified(parsed, none, NOW), _delivered(spark, root))
+    return ingest.classified(parsed, markers, NOW).select("source_event_id", "outcome")
 
 
 @query(polled_sql(f"max(ms) + 1000 AS last_updated_ms, epoch_ms({NOW_SQL}) - max(ms) - 1000 AS lag_ms").replace("FROM events))", f"FROM events)) WHERE {_OK} AND event_id % 3 <> 0"))
