@@ -115,13 +115,27 @@ def correlate_asof(events: DataFrame, updates: DataFrame, now: datetime) -> Data
     return _candidates(cell_join(left, right, *AT, REACHES_KM, F.col("radius_km"), known), now)
 
 
-def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:
-    """(event_id, facility_id, distance_km) within one radius, in either direction of looking."""
+def _positions(events: DataFrame, facilities: DataFrame) -> tuple[DataFrame, DataFrame]:
     left = events.select("event_id", F.col("payload.latitude").alias("event_latitude"), F.col("payload.longitude").alias("event_longitude"))
     right = facilities.select("facility_id", F.col("latitude").alias("asset_latitude"), F.col("longitude").alias("asset_longitude"))
+    return left, right
+
+
+def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:
+    """(event_id, facility_id, distance_km) within one radius, in either direction of looking."""
+    left, right = _positions(events, facilities)
     return cell_join(left, right, *AT, (radius_km,), F.lit(radius_km)).select("event_id", "facility_id", "distance_km")
 
 
+def events_per_facility(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:
+    """(facility_id, n_events): the number of events within one radius; facilities without any have no row. Events of one position,
+    and facilities of one, are counted before they meet: pairs of positions are compared, not pairs of rows."""
+    left, right = _positions(events, facilities)
+    left = left.groupBy(*AT[0]).agg(F.count("*").alias("_events"))
+    near = cell_join(left, right.select(*AT[1]).distinct(), *AT, (radius_km,), F.lit(radius_km)).groupBy(*AT[1]).agg(F.sum("_events").alias("_events"))
+    return right.join(near, list(AT[1])).groupBy("facility_id").agg(F.sum("_events").alias("n_events"))
+
+
 def correlate_regions(events: DataFrame, facilities: DataFrame, now: datetime) -> DataFrame:
     """Candidates of each flood of alert red with each facility in its region; they have no distance and no radius, and the score 1.
 

@@ -216,7 +216,7 @@ def facilities_near_event(spark, root):
 @query(f"WITH {RAW_SQL}, {REASONS}, {FACILITY_SQL} SELECT facility_id, count(*) AS n_events FROM norm e JOIN fac f ON event_time >= TIMESTAMP '2024-01-15' AND {haversine_sql('e.latitude', 'e.longitude', 'f.latitude', 'f.longitude')} <= 60 GROUP BY 1")
 def events_near_facility(spark, root):
     recent = _normalized(spark, root).where("event_time >= timestamp '2024-01-15 00:00:00'")
-    return correlate.facilities_near(recent, views.facilities(spark, root), 60.0).groupBy("facility_id").agg(F.count("*").alias("n_events"))
+    return correlate.events_per_facility(recent, views.facilities(spark, root), 60.0)
 
 
 # --- current state ------------------------------------------------------------------------------------------------------------

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +95,34 @@ def test_facilities_near_everywhere(spark, km):
     assert len(got) == len(set(got)) and set(got) == near_by_hand(rows, rows, km)
 
 
+def crowded(spark):
+    """Events and facilities of which many share a position, zeros of either sign and ids that are null or come twice among them."""
+    rng = random.Random(9)
+    spots = [(0.0, 0.0), (-0.0, 180.0), (0.3, -0.0), (0.0, -180.0), (89.9, 5.0), (None, 1.0), (float("nan"), 1.0), (99.0, 1.0)]
+    ev = [(f"e{i}", (*rng.choice(spots),)) for i in range(120)]
+    fac = [(rng.choice([None, *(f"f{n}" for n in range(30))]), *rng.choice(spots)) for _ in range(90)]
+    pairs = [(e, f) for e, (a, b) in ev for f, c, d in fac if None not in (a, c) and abs(a) <= 90 and abs(c) <= 90 and near_by_hand([("l", a, b)], [("r", c, d)], 60.0)]
+    events = spark.createDataFrame(ev, "event_id string, payload struct<latitude:double,longitude:double>")
+    return events, spark.createDataFrame(fac, "facility_id string, latitude double, longitude double"), pairs
+
+
+def test_events_per_facility(spark):
+    from strandline.operators.correlate import events_per_facility
+
+    events, facilities, pairs = crowded(spark)
+    got = [tuple(r) for r in events_per_facility(events, facilities, 60.0).collect()]
+    assert len(got) == len(set(got)) and dict(got) == Counter(f for _, f in pairs) and len(got) > 20
+
+
+def test_events_of_one_place_are_counted_before_they_meet(spark):
+    from strandline.operators.correlate import events_per_facility
+
+    n = 3_000_000  # by pairs of rows: 3e10
+    events = spark.range(n).selectExpr("id AS event_id", "named_struct('latitude', 1D, 'longitude', 2D) AS payload")
+    facilities = spark.range(10_000).selectExpr("id AS facility_id", "1D AS latitude", "2.1D AS longitude")
+    assert {r.n_events for r in events_per_facility(events, facilities, 60.0).collect()} == {n}
+
+
 @pytest.mark.parametrize(("lat", "km"), [(74.9, 200.0), (74.9, 250.0), (-70.0, 250.0), (60.0, 500.0)])
 def test_the_rim_of_a_wide_disc(spark, lat, km):
     centre = [("centre", lat, 179.0)]
