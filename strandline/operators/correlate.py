@@ -121,10 +121,21 @@ def _positions(events: DataFrame, facilities: DataFrame) -> tuple[DataFrame, Dat
     return left, right
 
 
-def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:
-    """(event_id, facility_id, distance_km) within one radius, in either direction of looking."""
+#: facilities of one position that are listed in one row, and such rows per cell beyond which the cell is split
+PLACE_ROWS, CELL_PLACES = 500, 1_000
+
+
+def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float, digits: int | None = None) -> DataFrame:
+    """(event_id, facility_id, distance_km) within one radius, in either direction of looking; the distance to so many decimals.
+    Facilities of one position meet an event together, in lists of about PLACE_ROWS: the distance is told once for all of them."""
     left, right = _positions(events, facilities)
-    return cell_join(left, right, *AT, (radius_km,), F.lit(radius_km)).select("event_id", "facility_id", "distance_km")
+    at = list(AT[1])
+    known = right.where(valid_position(*[F.col(c) for c in at]))
+    parts = known.groupBy(*at).agg(F.ceil(F.count("*") / PLACE_ROWS).alias("_lists"))
+    listed = known.join(parts, at).groupBy(*at, F.pmod(F.xxhash64("facility_id"), F.col("_lists")).alias("_list")).agg(F.collect_list(F.struct("facility_id")).alias("_ids"))
+    met = cell_join(left, listed, *AT, (radius_km,), F.lit(radius_km), cell_rows=CELL_PLACES)
+    distance = F.col("distance_km") if digits is None else F.round("distance_km", digits)
+    return met.select("event_id", distance.alias("distance_km"), "_ids").select("event_id", F.inline("_ids"), "distance_km")
 
 
 def events_per_facility(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:

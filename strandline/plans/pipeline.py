@@ -209,8 +209,7 @@ def geo_correlate_asof(spark, root):
 
 @query(f"WITH {RAW_SQL}, {REASONS}, {FACILITY_SQL} SELECT event_id, facility_id, round({haversine_sql('e.latitude', 'e.longitude', 'f.latitude', 'f.longitude')}, 6) AS distance_km FROM norm e JOIN fac f ON {haversine_sql('e.latitude', 'e.longitude', 'f.latitude', 'f.longitude')} <= 60")
 def facilities_near_event(spark, root):
-    near = correlate.facilities_near(_normalized(spark, root), views.facilities(spark, root), 60.0)
-    return near.withColumn("distance_km", F.round("distance_km", 6))
+    return correlate.facilities_near(_normalized(spark, root), views.facilities(spark, root), 60.0, digits=6)
 
 
 @query(f"WITH {RAW_SQL}, {REASONS}, {FACILITY_SQL} SELECT facility_id, count(*) AS n_events FROM norm e JOIN fac f ON event_time >= TIMESTAMP '2024-01-15' AND {haversine_sql('e.latitude', 'e.longitude', 'f.latitude', 'f.longitude')} <= 60 GROUP BY 1")

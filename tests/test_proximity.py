@@ -123,6 +123,16 @@ def test_events_of_one_place_are_counted_before_they_meet(spark):
     assert {r.n_events for r in events_per_facility(events, facilities, 60.0).collect()} == {n}
 
 
+def test_facilities_of_one_position_meet_an_event_together(spark, monkeypatch):
+    from strandline.operators import correlate
+
+    monkeypatch.setattr(correlate, "PLACE_ROWS", 4)
+    monkeypatch.setattr(correlate, "CELL_PLACES", 3)
+    events, facilities, pairs = crowded(spark)
+    got = correlate.facilities_near(events, facilities, 60.0, digits=3).collect()
+    assert Counter((r.event_id, r.facility_id) for r in got) == Counter(pairs) and {r.distance_km for r in got} == {0.0, 33.359}
+
+
 @pytest.mark.parametrize(("lat", "km"), [(74.9, 200.0), (74.9, 250.0), (-70.0, 250.0), (60.0, 500.0)])
 def test_the_rim_of_a_wide_disc(spark, lat, km):
     centre = [("centre", lat, 179.0)]
