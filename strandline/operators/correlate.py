@@ -18,6 +18,7 @@ from strandline.functions.geo import EARTH_RADIUS_KM, QUAKE_RADII, cell_of, cell
 from strandline.functions.text import impact_id
 from strandline.operators.proximity import points_in_regions
 from strandline.operators.sliced import Carry, slice_width, sliced, with_carried
+from strandline.session import stored
 
 #: arrivals of one slice of a facility's updates
 SLICE_SEQS = 1_000_000
@@ -35,7 +36,7 @@ def with_radius(events: DataFrame) -> DataFrame:
 CELL_ROWS = 20_000
 
 
-def cell_join(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], reaches_km: Sequence[float], within: Column, extra: Column | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
+def cell_join(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], reaches_km: Sequence[float], within: Column, extra: Column | None = None, cell_rows: int = CELL_ROWS, tasks: int | None = None) -> DataFrame:
     """left x right rows with `distance_km` at most `within`, which must never exceed the greatest of reaches_km. Rows without a
     position on the globe, and left rows without a `within`, meet nothing.
 
@@ -66,6 +67,9 @@ def cell_join(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right
     full = there.groupBy(*place).agg(F.count("*").alias("_n")).where(F.col("_n") > cell_rows).select(*place, F.ceil(F.col("_n") / cell_rows).cast("int").alias("_parts"))
     there = there.join(full, place, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*right.columns), F.coalesce("_parts", F.lit(1))).cast("int"))).drop("_parts")
     near = near.join(full, place, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    if tasks:  # a class that is the only one is no key of the join, as the optimizer sees it
+        keys = [*place[len(reaches) == 1 :], "_part"]
+        near, there = near.repartition(tasks, *keys), there.repartition(tasks, *keys)
     met = near.join(there, [*place, "_part"])
     met = met if extra is None else met.where(extra)
     distance = haversine_km(lat, lon, F.col(right_at[0]), F.col(right_at[1]))
@@ -121,21 +125,30 @@ def _positions(events: DataFrame, facilities: DataFrame) -> tuple[DataFrame, Dat
     return left, right
 
 
-#: facilities of one position that are listed in one row, and such rows per cell beyond which the cell is split
-PLACE_ROWS, CELL_PLACES = 500, 1_000
+#: events, and facilities, of one position that are listed in one row; event lists per cell beyond which the cell is split; tasks of
+#: the last stage for each shuffle partition, as it gives many more rows than it reads
+EVENT_ROWS, PLACE_ROWS, CELL_PLACES, LIST_TASKS = 16, 500, 200, 8
+
+
+def _listed(rows: DataFrame, key: str, at: tuple[str, str], most: int) -> DataFrame:
+    """(at, `_<key>s`): the keys of each position on the globe in lists of at most so many; null keys are kept."""
+    known = rows.where(valid_position(*[F.col(c) for c in at])).select(key, *at)
+    number = F.row_number().over(Window.partitionBy(*at).orderBy(key))
+    return known.withColumn("_list", F.floor((number - 1) / most)).groupBy(*at, "_list").agg(F.collect_list(F.struct(key)).alias(f"_{key}s")).drop("_list")
 
 
 def facilities_near(events: DataFrame, facilities: DataFrame, radius_km: float, digits: int | None = None) -> DataFrame:
     """(event_id, facility_id, distance_km) within one radius, in either direction of looking; the distance to so many decimals.
-    Facilities of one position meet an event together, in lists of about PLACE_ROWS: the distance is told once for all of them."""
+    Events of one position and facilities of one meet in lists: the distance is told once for all pairs of two lists. Facilities, of
+    which there are fewer, are copied to the cells around them, and events are not."""
     left, right = _positions(events, facilities)
-    at = list(AT[1])
-    known = right.where(valid_position(*[F.col(c) for c in at]))
-    parts = known.groupBy(*at).agg(F.ceil(F.count("*") / PLACE_ROWS).alias("_lists"))
-    listed = known.join(parts, at).groupBy(*at, F.pmod(F.xxhash64("facility_id"), F.col("_lists")).alias("_list")).agg(F.collect_list(F.struct("facility_id")).alias("_ids"))
-    met = cell_join(left, listed, *AT, (radius_km,), F.lit(radius_km), cell_rows=CELL_PLACES)
+    listed = stored(_listed(left, "event_id", AT[0], EVENT_ROWS), "events-listed")  # counted by cell first
+    there = _listed(right, "facility_id", AT[1], PLACE_ROWS)
+    tasks = LIST_TASKS * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = cell_join(there, listed, AT[1], AT[0], (radius_km,), F.lit(radius_km), cell_rows=CELL_PLACES, tasks=tasks)
     distance = F.col("distance_km") if digits is None else F.round("distance_km", digits)
-    return met.select("event_id", distance.alias("distance_km"), "_ids").select("event_id", F.inline("_ids"), "distance_km")
+    met = met.select(distance.alias("distance_km"), "_event_ids", "_facility_ids").select(F.inline("_event_ids"), "_facility_ids", "distance_km")
+    return met.select("event_id", F.inline("_facility_ids"), "distance_km")
 
 
 def events_per_facility(events: DataFrame, facilities: DataFrame, radius_km: float) -> DataFrame:

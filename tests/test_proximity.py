@@ -133,6 +133,35 @@ def test_facilities_of_one_position_meet_an_event_together(spark, monkeypatch):
     assert Counter((r.event_id, r.facility_id) for r in got) == Counter(pairs) and {r.distance_km for r in got} == {0.0, 33.359}
 
 
+def test_events_of_one_position_are_listed_in_many_tasks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from strandline.operators import correlate
+
+    events, facilities, pairs = crowded(spark)
+    monkeypatch.setattr(correlate, "EVENT_ROWS", 3)
+    got = correlate.facilities_near(events, facilities, 60.0, digits=3).collect()
+    assert Counter((r.event_id, r.facility_id) for r in got) == Counter(pairs)
+
+    monkeypatch.undo()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = spark.range(40_000).selectExpr("id AS event_id", "named_struct('latitude', 1D, 'longitude', 2D) AS payload")
+        facilities = spark.range(10).selectExpr("id AS facility_id", "1D AS latitude", "2.1D AS longitude")
+        sizes = [r["count"] for r in correlate.facilities_near(events, facilities, 60.0).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(sizes) == 400_000 and max(sizes) < 200_000  # in one task: all of one cell
+
+
+def test_a_raw_event_is_parsed_once(spark):
+    from strandline.plans.pipeline import _normalized
+
+    near = _normalized(spark, "/root/testdata/sf0.001").where("payload.latitude >= -90 and payload.longitude <= 180")
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("get_json_object(") == 1
+
+
 @pytest.mark.parametrize(("lat", "km"), [(74.9, 200.0), (74.9, 250.0), (-70.0, 250.0), (60.0, 500.0)])
 def test_the_rim_of_a_wide_disc(spark, lat, km):
     centre = [("centre", lat, 179.0)]
